@@ -93,10 +93,24 @@ def item_forecasts(forecasts: DataFrame, item_id: str, store_id: str) -> DataFra
     )
 
 
-def _latest_by_date(rows: DataFrame, day: str) -> DataFrame:
-    """Highest id per series and date, planned as a map-side group limit of 1."""
-    newest = Window.partitionBy("item_id", "store_id", day).orderBy(F.desc("id"))
-    return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+def _latest_by_date(rows: DataFrame, run: DataFrame, day: str, value: str) -> DataFrame:
+    """``value`` of the highest id per series and date under one run.
+
+    The rank filter is planned as a group limit of 1 on both sides of the
+    exchange, so repeated copies of a key are dropped before the shuffle. The
+    date stays a date: joins on (item, store, date) reuse the partitioning.
+    """
+    newest = Window.partitionBy("item_id", "store_id", "date").orderBy(F.desc("id"))
+    return (
+        _of_run(rows.withColumnRenamed(day, "date"), run)
+        .withColumn("_rank", F.row_number().over(newest))
+        .where("_rank = 1")
+        .select("item_id", "store_id", "date", value, "model_version")
+    )
+
+
+def _date_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
 def latest_forecasts(
@@ -106,13 +120,9 @@ def latest_forecasts(
     store_id: str | None = None,
 ) -> DataFrame:
     """Active version's forecast per series and date; the last written copy wins."""
-    rows = _of_run(_lookup(forecasts, item_id, store_id), active_run(runs))
-    return _latest_by_date(rows, "forecast_date").select(
-        "item_id",
-        "store_id",
-        F.date_format("forecast_date", "yyyy-MM-dd").alias("date"),
-        "predicted_sales",
-        "model_version",
+    rows = _lookup(forecasts, item_id, store_id)
+    return _date_text(
+        _latest_by_date(rows, active_run(runs), "forecast_date", "predicted_sales")
     )
 
 
@@ -123,12 +133,20 @@ def latest_history(
     store_id: str | None = None,
 ) -> DataFrame:
     """Active version's actuals per series and date; the last written copy wins."""
-    rows = _of_run(_lookup(history, item_id, store_id), active_run(runs))
-    return _latest_by_date(rows, "sale_date").select(
-        "item_id",
-        "store_id",
-        F.date_format("sale_date", "yyyy-MM-dd").alias("date"),
-        "actual_sales",
+    rows = _lookup(history, item_id, store_id)
+    return _date_text(
+        _latest_by_date(rows, active_run(runs), "sale_date", "actual_sales")
+    ).drop("model_version")
+
+
+def _matched(
+    forecasts: DataFrame, history: DataFrame, runs: DataFrame, how: str
+) -> DataFrame:
+    active = active_run(runs)
+    predicted = _latest_by_date(forecasts, active, "forecast_date", "predicted_sales")
+    actual = _latest_by_date(history, active, "sale_date", "actual_sales")
+    return actual.drop("model_version").join(
+        predicted.drop("model_version"), ["item_id", "store_id", "date"], how
     )
 
 
@@ -279,8 +297,7 @@ def items_by_volume(
 
 def actual_vs_predicted(forecasts: DataFrame, history: DataFrame, runs: DataFrame) -> DataFrame:
     """Matched days of every series in the active run."""
-    predicted = latest_forecasts(forecasts, runs).drop("model_version")
-    return latest_history(history, runs).join(predicted, ["item_id", "store_id", "date"])
+    return _date_text(_matched(forecasts, history, runs, "inner"))
 
 
 def item_tiles(forecasts: DataFrame, history: DataFrame, runs: DataFrame) -> DataFrame:
@@ -288,10 +305,8 @@ def item_tiles(forecasts: DataFrame, history: DataFrame, runs: DataFrame) -> Dat
 
     One left join serves all three: unmatched days have no error to average.
     """
-    predicted = latest_forecasts(forecasts, runs).drop("model_version")
     return (
-        latest_history(history, runs)
-        .join(predicted, ["item_id", "store_id", "date"], "left")
+        _matched(forecasts, history, runs, "left")
         .groupBy("item_id", "store_id")
         .agg(
             mean_absolute_error("actual_sales", "predicted_sales").alias("mae"),

@@ -96,8 +96,10 @@ def join_calendar(d: DemandDataset) -> DataFrame:
 def etl_pipeline(d: DemandDataset) -> DataFrame:
     """CSV in, curated Parquet out, read back from its partitions."""
     path = new_dir(d.spark, "curated")
-    long = transform_sales_to_long(d.spark, d.raw_path, calendar_path=d.raw_path)
-    write_parquet(long, path, ["store_id"])
+    long = transform_sales_to_long(
+        d.spark, d.raw_path, calendar_path=d.raw_path, splits_per_store=8
+    )
+    write_parquet(long, path, ["store_id"], rebalance=False)
     return read_daily_sales(d.spark, path)
 
 
@@ -451,5 +453,5 @@ def per_series_backtest(d: DemandDataset) -> DataFrame:
 
 @_register
 def gbt_backtest(d: DemandDataset) -> DataFrame:
-    rows = backtest_pooled(_split(d), params={"maxIter": 10, "stepSize": 0.1})
+    rows = backtest_pooled(_split(d), params={"maxIter": 10, "stepSize": 0.3})
     return _rounded(metrics.series_metrics(rows), "mae", "rmse", "weight")

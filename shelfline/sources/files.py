@@ -45,19 +45,21 @@ def write_parquet(
     output_path: str,
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Write Parquet, optionally partitioned into directories.
 
     Rows are rebalanced on the partition columns first, so a directory gets few
     files of about the advisory size; a directory with a large share of all rows
-    (one dominant store) is split over several tasks by AQE.
+    (one dominant store) is split over several tasks by AQE. Pass
+    ``rebalance=False`` for rows already placed that way.
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode(mode)
     if partition_by:
-        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(
-            output_path
-        )
-    else:
-        df.write.mode(mode).parquet(output_path)
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(output_path)
 
 
 def write_series_table(df: DataFrame, table: str, path: str, buckets: int) -> None:

@@ -16,12 +16,11 @@ from collections.abc import Mapping
 from datetime import datetime
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.operators.quality import require_not_null, require_unique
+from shelfline.operators.quality import not_null, require_unique
 from shelfline.schemas import FORECASTS, MODEL_RUNS, NOT_NULL, SALES_HISTORY, UNIQUE_KEYS
 
 _VERSION = re.compile(r"[A-Za-z0-9._-]{1,20}")
@@ -93,18 +92,17 @@ class ForecastStore:
     """The three tables below one root path."""
 
     def __init__(self, spark: SparkSession, root: str):
+        """Open the store, creating empty tables where there are none."""
         self.spark = spark
         self.root = root.rstrip("/")
+        for table in UNIQUE_KEYS:
+            path, fs = self._filesystem(table)
+            fs.mkdirs(path)
 
     # -- reading ------------------------------------------------------------------
 
     def _read(self, table: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
     def forecasts(self) -> DataFrame:
         return self._read("forecasts", FORECASTS).select(*FORECASTS.names)
@@ -140,8 +138,9 @@ class ForecastStore:
         if mode not in ("replace", "append"):
             raise ValueError(f"unknown mode {mode!r}")
         schema, day = _LAYOUT[table]
-        rows = rows.withColumn("model_version", F.lit(_checked(version)))
-        require_not_null(rows, NOT_NULL[table])
+        rows = not_null(
+            rows.withColumn("model_version", F.lit(_checked(version))), NOT_NULL[table]
+        )
         require_unique(rows, UNIQUE_KEYS[table])
         if mode == "replace":
             self._drop_partition(table, version)
@@ -213,8 +212,11 @@ class ForecastStore:
         runs.coalesce(1).write.mode("overwrite").parquet(path)
 
     def _drop_partition(self, table: str, version: str) -> None:
+        path, fs = self._filesystem(f"{table}/model_version={_checked(version)}")
+        fs.delete(path, True)
+
+    def _filesystem(self, name: str):
+        """Hadoop path below the root and the file system it lives on."""
         sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(
-            f"{self.root}/{table}/model_version={_checked(version)}"
-        )
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(sc._jsc.hadoopConfiguration())
