@@ -4,8 +4,9 @@
 version is replaced by a dynamic partition overwrite and removed by dropping its
 directory. ``model_runs`` is a handful of rows that change in place (activation),
 so every change writes a complete new snapshot directory and readers use the
-newest one; a path is never overwritten while it is being read. One writer at a
-time is assumed.
+newest one; a path is never overwritten while it is being read. A snapshot also
+holds one marker row without a version, so that one without runs is still found
+to be the newest. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -119,7 +120,8 @@ class ForecastStore:
 
     def model_runs(self) -> DataFrame:
         newest = F.col("snapshot") == self._last_snapshot()
-        return self._run_snapshots().where(newest).select(*MODEL_RUNS.names)
+        is_run = F.col("model_version").isNotNull()
+        return self._run_snapshots().where(newest & is_run).select(*MODEL_RUNS.names)
 
     # -- writing ------------------------------------------------------------------
 
@@ -208,8 +210,9 @@ class ForecastStore:
             self._drop_partition(table, version)
 
     def _save_runs(self, runs: DataFrame) -> None:
+        marker = self.spark.createDataFrame([(None,) * len(MODEL_RUNS)], MODEL_RUNS)
         path = f"{self.root}/model_runs/snapshot={self._last_snapshot() + 1}"
-        runs.coalesce(1).write.mode("overwrite").parquet(path)
+        runs.unionByName(marker).coalesce(1).write.mode("overwrite").parquet(path)
 
     def _drop_partition(self, table: str, version: str) -> None:
         path, fs = self._filesystem(f"{table}/model_version={_checked(version)}")
