@@ -61,10 +61,11 @@ class DemandDataset:
         name = f"daily_sales_{uuid.uuid4().hex[:12]}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         write_series_table(
-            star.daily_fact(self.spark, self.sf_dir, self.span),
+            star.daily_fact(self.spark, self.sf_dir, self.span, buckets),
             name,
             new_dir(self.spark, "daily_sales"),
             buckets,
+            placed=True,
         )
         return name
 

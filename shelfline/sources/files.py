@@ -40,6 +40,11 @@ def read_daily_sales(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DAILY_SALES).parquet(path).select(*DAILY_SALES.names)
 
 
+def daily_sales_path(curated_path: str, store_id: str) -> str:
+    """Folder of one store's curated fact."""
+    return f"{curated_path.rstrip('/')}/daily_{store_id.lower()}"
+
+
 def write_parquet(
     df: DataFrame,
     output_path: str,
@@ -62,18 +67,22 @@ def write_parquet(
     writer.parquet(output_path)
 
 
-def write_series_table(df: DataFrame, table: str, path: str, buckets: int) -> None:
+def write_series_table(
+    df: DataFrame, table: str, path: str, buckets: int, placed: bool = False
+) -> None:
     """Write the fact as a catalog table partitioned by store and bucketed by item.
 
     A series then lives in one bucket of one store: feature windows, per-series
     models and per-series aggregates over this table need no exchange, and a
-    store filter still prunes directories. Rows are shuffled on the bucket key
-    beforehand to write one file per store and bucket; a bucket is bounded by
-    items per bucket times days, whatever the raw volume of an item was.
+    store filter still prunes directories. Rows are first shuffled on the bucket
+    key, to write one file per store and bucket, unless they are ``placed`` that
+    way. A bucket is bounded by its items times stores times days, whatever the
+    raw volume of an item was.
     """
+    if not placed:
+        df = df.repartition(buckets, "item_id")
     (
-        df.repartition(buckets, "item_id")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("path", path)
         .partitionBy("store_id")
         .bucketBy(buckets, "item_id")

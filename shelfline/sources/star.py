@@ -139,9 +139,19 @@ def calendar(spark: SparkSession, span: Span) -> DataFrame:
     )
 
 
-def daily_fact(spark: SparkSession, sf_dir: str, span: Span) -> DataFrame:
-    """Dense, calendar-enriched daily fact in the curated schema."""
-    dense = dense_demand(daily_demand(spark, sf_dir, span), span)
+def daily_fact(
+    spark: SparkSession, sf_dir: str, span: Span, buckets: int | None = None
+) -> DataFrame:
+    """Dense, calendar-enriched daily fact in the curated schema.
+
+    ``buckets`` places the rows for a table bucketed by item. That happens on the
+    days with sales, before the gaps are filled: the fill's window needs no
+    further exchange and the dense rows are never shuffled.
+    """
+    demand = daily_demand(spark, sf_dir, span)
+    if buckets is not None:
+        demand = demand.repartition(buckets, "item_id")
+    dense = dense_demand(demand, span)
     long = dense.withColumns(id_columns()).withColumn("d", F.concat(F.lit("d_"), "day_num"))
     return join_calendar(long, calendar(spark, span)).select(*DAILY_SALES.names)
 

@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,27 +60,37 @@ def run_row(
     trained_at: datetime | None = None,
 ) -> DataFrame:
     """One run as a DataFrame: parameters as JSON (or NULL), inactive, stamped now."""
-    schema = T.StructType(
-        [f for f in MODEL_RUNS.fields if f.name not in ("run_id", "trained_at")]
-    )
-    values = (
-        model_version,
-        mae,
-        rmse,
-        weighted_mae,
-        horizon_days,
-        num_items,
-        store_id,
-        json.dumps(dict(parameters)) if parameters else None,
-        False,
-    )
     # As text, so that the session's time zone applies and not the driver's.
     stamp = (
         F.current_timestamp()
         if trained_at is None
         else F.to_timestamp(F.lit(trained_at.isoformat(sep=" ")))
     )
-    return spark.createDataFrame([values], schema).withColumn("trained_at", stamp)
+    return _one_run(
+        spark,
+        {
+            "model_version": F.lit(model_version),
+            "trained_at": stamp,
+            "mae": F.lit(mae),
+            "rmse": F.lit(rmse),
+            "weighted_mae": F.lit(weighted_mae),
+            "horizon_days": F.lit(horizon_days),
+            "num_items": F.lit(num_items),
+            "store_id": F.lit(store_id),
+            "parameters": F.lit(json.dumps(dict(parameters)) if parameters else None),
+            "is_active": F.lit(False),
+        },
+    )
+
+
+def _one_run(spark: SparkSession, values: Mapping[str, Column]) -> DataFrame:
+    """A single row of the run table; columns not given are NULL."""
+    return spark.range(0, 1, 1, 1).select(
+        *[
+            values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in MODEL_RUNS.fields
+        ]
+    )
 
 
 def _checked(version: str) -> str:
@@ -210,7 +220,7 @@ class ForecastStore:
             self._drop_partition(table, version)
 
     def _save_runs(self, runs: DataFrame) -> None:
-        marker = self.spark.createDataFrame([(None,) * len(MODEL_RUNS)], MODEL_RUNS)
+        marker = _one_run(self.spark, {})
         path = f"{self.root}/model_runs/snapshot={self._last_snapshot() + 1}"
         runs.unionByName(marker).coalesce(1).write.mode("overwrite").parquet(path)
 

@@ -1,3 +1,5 @@
+import numpy as np
+import pandas as pd
 import pytest
 
 from shelfline import session
@@ -5,7 +7,12 @@ from shelfline.operators.features import build_features
 from shelfline.operators.forecast import baseline_backtest
 from shelfline.operators.split import holdout_split
 from shelfline.sources import star
-from shelfline.sources.files import read_metrics, write_metrics, write_series_table
+from shelfline.sources.files import (
+    daily_sales_path,
+    read_metrics,
+    write_metrics,
+    write_series_table,
+)
 from shelfline.sources.jdbc import JdbcStore
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +46,10 @@ def test_shared_dir_comes_from_the_session(spark):
     assert session.new_dir(spark, "x") != session.new_dir(spark, "x")
 
 
+def test_store_path_is_lower_case():
+    assert daily_sales_path("s3://curated/", "CA_1") == "s3://curated/daily_ca_1"
+
+
 def test_metrics_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1.5, 2.5, None)], "mae double, rmse double, weighted_mae double")
     write_metrics(df, str(tmp_path / "m"))
@@ -61,6 +72,53 @@ def test_dense_fact_covers_every_day_once(spark, span):
     assert tuple(bounds) == (span.first, span.last, 0)
 
 
+def test_hot_item_is_summed_whole(spark, tmp_path):
+    """A third of all line items on one item, store and day; a part never sold."""
+    rng = np.random.default_rng(0)
+    n = 9000
+    lines = pd.DataFrame(
+        {
+            "l_partkey": rng.integers(0, 6, n),
+            "l_suppkey": rng.integers(0, 4, n),
+            "l_quantity": rng.integers(1, 50, n).astype(float),
+            "l_shipdate": pd.Timestamp("2000-01-01") + pd.to_timedelta(rng.integers(0, 9, n), "D"),
+        }
+    )
+    lines.loc[: n // 3, ["l_partkey", "l_suppkey"]] = 1
+    lines.loc[: n // 3, "l_shipdate"] = pd.Timestamp("2000-01-05")
+    tables = {
+        "lineitem": lines,
+        "part": pd.DataFrame(
+            {
+                "p_partkey": range(7),
+                "p_brand": [f"Brand#{k % 3}" for k in range(7)],
+                "p_type": ["X" if k < 4 else "Y" for k in range(7)],
+            }
+        ),
+        "supplier": pd.DataFrame({"s_suppkey": range(4), "s_nationkey": [0, 1, 1, 2]}),
+        "nation": pd.DataFrame({"n_nationkey": range(3), "n_regionkey": [0, 0, 1]}),
+        "region": pd.DataFrame({"r_regionkey": range(2), "r_name": ["EAST", "WEST"]}),
+    }
+    for name, table in tables.items():
+        table.to_parquet(tmp_path / f"{name}.parquet", coerce_timestamps="us")
+    span = star.demand_span(spark, str(tmp_path))
+    assert span.days == 9
+    joined = (
+        lines.merge(tables["part"], left_on="l_partkey", right_on="p_partkey")
+        .merge(tables["supplier"], left_on="l_suppkey", right_on="s_suppkey")
+        .merge(tables["nation"], left_on="s_nationkey", right_on="n_nationkey")
+        .merge(tables["region"], left_on="n_regionkey", right_on="r_regionkey")
+    )
+    joined["item_id"] = joined["p_type"] + "_" + joined["p_brand"].str[6:]
+    want = joined.groupby(["item_id", "r_name", "l_shipdate"])["l_quantity"].sum()
+    fact = star.daily_fact(spark, str(tmp_path), span, buckets=4).collect()
+    got = {(r.item_id, r.store_id, pd.Timestamp(r.cal_date)): r.sales for r in fact}
+    series = {(i, s) for i, s, _ in want.index}
+    assert len(got) == len(fact) == 9 * len(series)
+    for key, sales in got.items():
+        assert sales == want.get(key, 0)
+
+
 def test_only_used_columns_are_scanned(spark, span, plan_of):
     plan = plan_of(star.daily_demand(spark, SF, span))
     assert (
@@ -72,9 +130,12 @@ def test_only_used_columns_are_scanned(spark, span, plan_of):
 
 
 def test_bucketed_fact_needs_no_exchange(spark, span, tmp_path, plan_of):
-    write_series_table(
-        star.daily_fact(spark, SF, span), "fact_under_test", str(tmp_path / "fact"), 8
-    )
+    placed = star.daily_fact(spark, SF, span, buckets=8)
+    plan = plan_of(placed)
+    assert plan.count("Exchange hashpartitioning") == 2  # daily sums, then by item
+    write_series_table(placed, "fact_under_test", str(tmp_path / "fact"), 8, placed=True)
+    for store in (tmp_path / "fact").glob("store_id=*"):
+        assert len(list(store.glob("*.parquet"))) <= 8
     fact = spark.table("fact_under_test")
     split = holdout_split(build_features(fact))
     for df in (split, baseline_backtest(fact), fact.groupBy("store_id", "item_id").count()):
