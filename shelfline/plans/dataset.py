@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.plans.backtest import Baseline, Checkpoint, checkpoint_backtest, publish
 from shelfline.session import new_dir
-from shelfline.sources import star
 from shelfline.sources.files import write_series_table
+from shelfline.sources.star import Star
 from shelfline.store import ForecastStore
 
 # The two model versions kept in the derived store. The first stays
@@ -37,23 +37,19 @@ class DemandDataset:
         self.sf_dir = sf_dir.rstrip("/")
 
     @cached_property
-    def span(self) -> star.Span:
-        return star.demand_span(self.spark, self.sf_dir)
+    def star(self) -> Star:
+        return Star(self.spark, self.sf_dir)
 
     @property
     def demand(self) -> DataFrame:
         """Units per series and day with sales, straight from the raw tables."""
-        return star.daily_demand(self.spark, self.sf_dir, self.span)
-
-    @property
-    def calendar(self) -> DataFrame:
-        return star.calendar(self.spark, self.span)
+        return self.star.demand()
 
     @cached_property
     def raw_path(self) -> str:
         """Folder with the wide sales CSV and the calendar CSV."""
         path = new_dir(self.spark, "raw")
-        star.write_raw_files(self.spark, self.sf_dir, self.span, path)
+        self.star.write_raw_files(path)
         return path
 
     @cached_property
@@ -61,7 +57,7 @@ class DemandDataset:
         name = f"daily_sales_{uuid.uuid4().hex[:12]}"
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         write_series_table(
-            star.daily_fact(self.spark, self.sf_dir, self.span, buckets),
+            self.star.daily_fact(buckets),
             name,
             new_dir(self.spark, "daily_sales"),
             buckets,

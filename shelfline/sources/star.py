@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfline.operators.joins import broadcast_within
 from shelfline.operators.reshape import join_calendar
 from shelfline.schemas import DAILY_SALES, ID_COLUMNS, SERIES
 from shelfline.sources.files import CALENDAR_FILE, SALES_FILE
@@ -42,47 +44,6 @@ class Span:
         return self.first + timedelta(days=self.days - 1)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def demand_span(spark: SparkSession, sf_dir: str) -> Span:
-    """One-row aggregate over a single column of the line items."""
-    day = F.col("l_shipdate").cast("date")
-    low, high = _table(spark, sf_dir, "lineitem").agg(F.min(day), F.max(day)).first()
-    return Span(low, (high - low).days + 1)
-
-
-def daily_demand(spark: SparkSession, sf_dir: str, span: Span) -> DataFrame:
-    """Units per item, store and day, for days with sales.
-
-    Dimension joins carry no hint: Spark broadcasts a side when its size allows
-    and otherwise sorts and splits skewed keys. The aggregation combines map-side,
-    so an item with a third of all line items still shuffles at most one row per
-    store, day and map task.
-    """
-    lines = _table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", F.col("l_shipdate").cast("date").alias("cal_date"), "l_quantity"
-    )
-    items = _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.concat("p_type", F.lit("_"), F.substring("p_brand", 7, 100)).alias("item_id"),
-    )
-    stores = (
-        _table(spark, sf_dir, "supplier")
-        .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("store_id"))
-    )
-    return (
-        lines.join(items, "l_partkey")
-        .join(stores, "l_suppkey")
-        .groupBy("item_id", "store_id", "cal_date")
-        .agg(F.sum("l_quantity").cast("int").alias("sales"))
-        .withColumn("day_num", F.date_diff("cal_date", F.lit(span.first)) + 1)
-    )
-
-
 def id_columns() -> dict[str, Column]:
     """The descriptive ids that follow from item and store."""
     kind = F.substring_index("item_id", "_", 1)
@@ -139,45 +100,105 @@ def calendar(spark: SparkSession, span: Span) -> DataFrame:
     )
 
 
-def daily_fact(
-    spark: SparkSession, sf_dir: str, span: Span, buckets: int | None = None
-) -> DataFrame:
-    """Dense, calendar-enriched daily fact in the curated schema.
+class Star:
+    """The star-schema tables of one directory."""
 
-    ``buckets`` places the rows for a table bucketed by item. That happens on the
-    days with sales, before the gaps are filled: the fill's window needs no
-    further exchange and the dense rows are never shuffled.
-    """
-    demand = daily_demand(spark, sf_dir, span)
-    if buckets is not None:
-        demand = demand.repartition(buckets, "item_id")
-    dense = dense_demand(demand, span)
-    long = dense.withColumns(id_columns()).withColumn("d", F.concat(F.lit("d_"), "day_num"))
-    return join_calendar(long, calendar(spark, span)).select(*DAILY_SALES.names)
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
 
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-def sales_wide(spark: SparkSession, sf_dir: str, span: Span) -> DataFrame:
-    """One row per series, one column per day; days without sales are NULL.
+    @cached_property
+    def span(self) -> Span:
+        """One-row aggregate over a single column of the line items."""
+        day = F.col("l_shipdate").cast("date")
+        low, high = self.table("lineitem").agg(F.min(day), F.max(day)).first()
+        return Span(low, (high - low).days + 1)
 
-    The day list is fixed at plan time. Rows are placed by series before the
-    pivot, which then needs no exchange of its own and yields one CSV file per
-    task, so that the file can be read back in parallel.
-    """
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        daily_demand(spark, sf_dir, span)
-        .repartition(tasks, *SERIES)
-        .withColumns(id_columns())
-        .withColumn("d", F.concat(F.lit("d_"), "day_num"))
-        .groupBy(*ID_COLUMNS)
-        .pivot("d", span.columns)
-        .agg(F.sum("sales"))
-    )
+    @cached_property
+    def items(self) -> DataFrame:
+        """Item of every part."""
+        return broadcast_within(
+            self.table("part").select(
+                F.col("p_partkey").alias("l_partkey"),
+                F.concat("p_type", F.lit("_"), F.substring("p_brand", 7, 100)).alias("item_id"),
+            )
+        )
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        """Store of every supplier."""
+        return broadcast_within(
+            self.table("supplier")
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select(F.col("s_suppkey").alias("l_suppkey"), F.col("r_name").alias("store_id"))
+        )
+
+    @property
+    def calendar(self) -> DataFrame:
+        return calendar(self.spark, self.span)
+
+    def demand(self) -> DataFrame:
+        """Units per item, store and day, for days with sales.
+
+        The line items are read once and, while parts and suppliers fit a
+        broadcast, not shuffled before the aggregation. That combines map-side,
+        so an item with a third of all line items still shuffles at most one row
+        per store, day and map task.
+        """
+        return (
+            self.table("lineitem")
+            .select(
+                "l_partkey",
+                "l_suppkey",
+                F.col("l_shipdate").cast("date").alias("cal_date"),
+                "l_quantity",
+            )
+            .join(self.items, "l_partkey")
+            .join(self.stores, "l_suppkey")
+            .groupBy("item_id", "store_id", "cal_date")
+            .agg(F.sum("l_quantity").cast("int").alias("sales"))
+            .withColumn("day_num", F.date_diff("cal_date", F.lit(self.span.first)) + 1)
+        )
 
+    def daily_fact(self, buckets: int | None = None) -> DataFrame:
+        """Dense, calendar-enriched daily fact in the curated schema.
+
+        ``buckets`` places the rows for a table bucketed by item. That happens on
+        the days with sales, before the gaps are filled: the fill's window needs
+        no further exchange and the dense rows are never shuffled.
+        """
+        demand = self.demand()
+        if buckets is not None:
+            demand = demand.repartition(buckets, "item_id")
+        dense = dense_demand(demand, self.span)
+        long = dense.withColumns(id_columns()).withColumn("d", F.concat(F.lit("d_"), "day_num"))
+        return join_calendar(long, self.calendar).select(*DAILY_SALES.names)
+
+    def sales_wide(self) -> DataFrame:
+        """One row per series, one column per day; days without sales are NULL.
+
+        The day list is fixed at plan time. Rows are placed by series before the
+        pivot, which then needs no exchange of its own and yields one CSV file
+        per task, so that the file can be read back in parallel.
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return (
+            self.demand()
+            .repartition(tasks, *SERIES)
+            .withColumns(id_columns())
+            .withColumn("d", F.concat(F.lit("d_"), "day_num"))
+            .groupBy(*ID_COLUMNS)
+            .pivot("d", self.span.columns)
+            .agg(F.sum("sales"))
+        )
 
-def write_raw_files(spark: SparkSession, sf_dir: str, span: Span, raw_path: str) -> None:
-    """The two CSV inputs of the ETL pipeline."""
-    sales_wide(spark, sf_dir, span).write.option("header", True).csv(f"{raw_path}/{SALES_FILE}")
-    calendar(spark, span).withColumnRenamed("cal_date", "date").write.option(
-        "header", True
-    ).csv(f"{raw_path}/{CALENDAR_FILE}")
+    def write_raw_files(self, raw_path: str) -> None:
+        """The two CSV inputs of the ETL pipeline."""
+        self.sales_wide().write.option("header", True).csv(f"{raw_path}/{SALES_FILE}")
+        self.calendar.withColumnRenamed("cal_date", "date").write.option("header", True).csv(
+            f"{raw_path}/{CALENDAR_FILE}"
+        )

@@ -1,12 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline import session
 from shelfline.operators.features import build_features
 from shelfline.operators.forecast import baseline_backtest
+from shelfline.operators.joins import broadcast_within
 from shelfline.operators.split import holdout_split
-from shelfline.sources import star
 from shelfline.sources.files import (
     daily_sales_path,
     read_metrics,
@@ -14,6 +15,7 @@ from shelfline.sources.files import (
     write_series_table,
 )
 from shelfline.sources.jdbc import JdbcStore
+from shelfline.sources.star import Star
 
 SF = "/root/testdata/sf0.001"
 ENV = {
@@ -57,13 +59,12 @@ def test_metrics_round_trip(spark, tmp_path):
 
 
 @pytest.fixture(scope="module")
-def span(spark):
-    return star.demand_span(spark, SF)
+def star(spark):
+    return Star(spark, SF)
 
 
-def test_dense_fact_covers_every_day_once(spark, span):
-    demand = star.daily_demand(spark, SF, span)
-    fact = star.daily_fact(spark, SF, span)
+def test_dense_fact_covers_every_day_once(star):
+    demand, fact, span = star.demand(), star.daily_fact(), star.span
     series = demand.select("item_id", "store_id").distinct().count()
     assert fact.count() == series * span.days
     assert fact.select("id", "day_num").distinct().count() == series * span.days
@@ -72,6 +73,14 @@ def test_dense_fact_covers_every_day_once(spark, span):
     assert tuple(bounds) == (span.first, span.last, 0)
 
 
+def test_size_checked_broadcast(spark, plan_of):
+    spark.range(100).createOrReplaceTempView("facts")
+    small = spark.range(10).withColumn("x", F.rand())
+    facts = spark.table("facts").hint("merge")
+    assert "Broadcast" in plan_of(facts.join(broadcast_within(small, 10), "id"))
+    assert "Broadcast" not in plan_of(facts.join(broadcast_within(small, 9), "id"))
+
+
 def test_hot_item_is_summed_whole(spark, tmp_path):
     """A third of all line items on one item, store and day; a part never sold."""
     rng = np.random.default_rng(0)
@@ -101,8 +110,8 @@ def test_hot_item_is_summed_whole(spark, tmp_path):
     }
     for name, table in tables.items():
         table.to_parquet(tmp_path / f"{name}.parquet", coerce_timestamps="us")
-    span = star.demand_span(spark, str(tmp_path))
-    assert span.days == 9
+    star = Star(spark, str(tmp_path))
+    assert star.span.days == 9
     joined = (
         lines.merge(tables["part"], left_on="l_partkey", right_on="p_partkey")
         .merge(tables["supplier"], left_on="l_suppkey", right_on="s_suppkey")
@@ -111,7 +120,7 @@ def test_hot_item_is_summed_whole(spark, tmp_path):
     )
     joined["item_id"] = joined["p_type"] + "_" + joined["p_brand"].str[6:]
     want = joined.groupby(["item_id", "r_name", "l_shipdate"])["l_quantity"].sum()
-    fact = star.daily_fact(spark, str(tmp_path), span, buckets=4).collect()
+    fact = star.daily_fact(buckets=4).collect()
     got = {(r.item_id, r.store_id, pd.Timestamp(r.cal_date)): r.sales for r in fact}
     series = {(i, s) for i, s, _ in want.index}
     assert len(got) == len(fact) == 9 * len(series)
@@ -119,20 +128,20 @@ def test_hot_item_is_summed_whole(spark, tmp_path):
         assert sales == want.get(key, 0)
 
 
-def test_only_used_columns_are_scanned(spark, span, plan_of):
-    plan = plan_of(star.daily_demand(spark, SF, span))
+def test_line_items_are_pruned_and_not_shuffled(star, plan_of):
+    plan = plan_of(star.demand())
     assert (
         "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_quantity:double,"
         "l_shipdate:timestamp_ntz>" in plan
     )
+    assert plan.count("Exchange hashpartitioning") == 1  # the aggregation's
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert bad not in plan_of(star.daily_fact(spark, SF, span))
+        assert bad not in plan_of(star.daily_fact())
 
 
-def test_bucketed_fact_needs_no_exchange(spark, span, tmp_path, plan_of):
-    placed = star.daily_fact(spark, SF, span, buckets=8)
-    plan = plan_of(placed)
-    assert plan.count("Exchange hashpartitioning") == 2  # daily sums, then by item
+def test_bucketed_fact_needs_no_exchange(spark, star, tmp_path, plan_of):
+    placed = star.daily_fact(buckets=8)
+    assert plan_of(placed).count("Exchange hashpartitioning") == 2  # daily sums, then by item
     write_series_table(placed, "fact_under_test", str(tmp_path / "fact"), 8, placed=True)
     for store in (tmp_path / "fact").glob("store_id=*"):
         assert len(list(store.glob("*.parquet"))) <= 8
