@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from shelfline.schemas import FEATURE_COLUMNS, SERIES
 
+# Ship this module's functions inside the task, so that workers need no copy of
+# the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # learner(x_train, y_train, x_val, y_val) -> predictions for x_val
 Learner = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 

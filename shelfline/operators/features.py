@@ -68,6 +68,13 @@ def add_lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS) -> DataF
     return df.withColumns(lag_columns(lags))
 
 
+def _can_difference(df: DataFrame) -> bool:
+    """Integer sales, and overflow of the running totals raised rather than wrapped."""
+    integers = (T.ByteType, T.ShortType, T.IntegerType)
+    checked = df.sparkSession.conf.get("spark.sql.ansi.enabled").lower() == "true"
+    return checked and isinstance(df.schema["sales"].dataType, integers)
+
+
 def _add_rolling(
     df: DataFrame, windows: Sequence[int], others: dict[str, Column]
 ) -> DataFrame:
@@ -75,12 +82,12 @@ def _add_rolling(
 
     NULL until ``n`` non-null values are available. A sliding frame re-aggregates
     ``n`` rows for every row. Integer sales allow an exact shortcut: differences
-    of running totals, constant work per row whatever the window. Totals are
-    longs, and a sum of squares beyond them is an error, not a wrong number; cast
-    ``sales`` to double for such magnitudes. Other types use the sliding frame,
-    where differencing would lose precision.
+    of running totals, constant work per row whatever the window. The totals are
+    longs, enough for series of 100,000 days with up to nine million units each;
+    beyond that Spark raises an overflow, and ``sales`` cast to double works.
+    Other types use the sliding frame, as differencing would lose precision.
     """
-    if isinstance(df.schema["sales"].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
+    if _can_difference(df):
         totals = df.withColumns({**_running_totals(), **others})
         return totals.withColumns(_differenced_columns(windows)).drop(*_RUNNING)
     return df.withColumns({**others, **_sliding_columns(windows)})

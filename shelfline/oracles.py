@@ -304,6 +304,13 @@ def all_oracles() -> dict[str, str]:
             LEFT JOIN (SELECT store_id, item_id, avg(actual_sales) AS avg_sales
                        FROM active_history GROUP BY 1, 2) h
               ON f.store_id = h.store_id AND f.item_id = h.item_id""",
+        "dept_items_by_volume": f"""{_TO_STORE}
+            SELECT f.store_id, f.item_id, round(coalesce(h.avg_sales, 0), 6) AS avg_sales
+            FROM (SELECT DISTINCT store_id, item_id FROM active_forecasts) f
+            LEFT JOIN (SELECT store_id, item_id, avg(actual_sales) AS avg_sales
+                       FROM active_history GROUP BY 1, 2) h
+              ON f.store_id = h.store_id AND f.item_id = h.item_id
+            WHERE f.store_id = 'ASIA' AND split_part(f.item_id, '_', 1) = 'ECONOMY'""",
         "avg_sales_by_item": f"""{_TO_STORE}
             SELECT store_id, item_id, round(avg(actual_sales), 6) AS avg_sales
             FROM active_history GROUP BY store_id, item_id""",
@@ -328,12 +335,12 @@ def all_oracles() -> dict[str, str]:
                    count(*) AS total_days, round(max(s.mae), 6) AS mae, round(max(s.rmse), 6) AS rmse
             FROM fact f JOIN series s ON f.store_id = s.store_id AND f.item_id = s.item_id
             GROUP BY f.store_id, f.item_id""",
-        "delete_model_version": f"""{_TO_STORE}
+        "delete_version": f"""{_TO_STORE}
             SELECT item_id, store_id, forecast_date, round(predicted_sales, 6) AS predicted_sales,
                    model_version FROM forecasts WHERE model_version <> 'v1.0'""",
-        "promote_model_version": f"""{_TO_STORE}
+        "promote_version": f"""{_TO_STORE}
             SELECT run_id, model_version, model_version = 'v2.0' AS is_active FROM runs""",
-        "append_model_run": f"""{_TO_STORE}
+        "append_run": f"""{_TO_STORE}
             SELECT run_id, model_version, horizon_days, num_items, store_id, parameters, is_active FROM runs
             UNION ALL
             SELECT CAST(3 AS BIGINT), 'v3.0', CAST(28 AS INTEGER),

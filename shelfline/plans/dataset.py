@@ -47,15 +47,22 @@ class DemandDataset:
 
     @cached_property
     def raw_path(self) -> str:
-        """Folder with the wide sales CSV and the calendar CSV."""
+        """Folder with the wide sales CSV."""
         path = new_dir(self.spark, "raw")
-        self.star.write_raw_files(path)
+        self.star.write_sales_file(path)
+        return path
+
+    @cached_property
+    def calendar_path(self) -> str:
+        """Folder with the calendar CSV."""
+        path = new_dir(self.spark, "calendar")
+        self.star.write_calendar_file(path)
         return path
 
     @cached_property
     def fact_table(self) -> str:
         name = f"daily_sales_{uuid.uuid4().hex[:12]}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self.star.buckets()
         write_series_table(
             self.star.daily_fact(buckets),
             name,

@@ -33,20 +33,23 @@ from shelfline.sources.files import (
 from shelfline.store import ForecastStore, append_run, delete_version, promote_version
 from shelfline.store.tables import run_row
 
-# The series shown by single-item lookups.
-ITEM, STORE = "ECONOMY_17", "ASIA"
+# The values asked for by the lookups of one item, store or department.
+ITEM, STORE, DEPT = "ECONOMY_17", "ASIA", "ECONOMY"
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
 
 def _register(build: Callable[[DemandDataset], DataFrame]) -> Callable[[DemandDataset], DataFrame]:
+    """Add a query under its function's name; a trailing underscore is dropped."""
+    name = build.__name__.rstrip("_")
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(dataset(spark, sf_dir))
 
-    run.__name__ = build.__name__
+    run.__name__ = name
     run.__doc__ = build.__doc__
-    _queries[build.__name__] = run
+    _queries[name] = run
     return build
 
 
@@ -68,7 +71,7 @@ def _stamped(runs: DataFrame) -> DataFrame:
 
 @_register
 def calendar_read(d: DemandDataset) -> DataFrame:
-    return read_calendar(d.spark, d.raw_path)
+    return read_calendar(d.spark, d.calendar_path)
 
 
 @_register
@@ -83,13 +86,13 @@ def wide_to_long(d: DemandDataset) -> DataFrame:
 
 @_register
 def day_number(d: DemandDataset) -> DataFrame:
-    return reshape.add_day_number(read_calendar(d.spark, d.raw_path)).select("d", "day_num")
+    return reshape.add_day_number(read_calendar(d.spark, d.calendar_path)).select("d", "day_num")
 
 
 @_register
 def join_calendar(d: DemandDataset) -> DataFrame:
     long = d.demand.select(*SERIES, F.concat(F.lit("d_"), "day_num").alias("d"), "sales")
-    return reshape.join_calendar(long, read_calendar(d.spark, d.raw_path))
+    return reshape.join_calendar(long, read_calendar(d.spark, d.calendar_path))
 
 
 @_register
@@ -97,7 +100,7 @@ def etl_pipeline(d: DemandDataset) -> DataFrame:
     """CSV in, curated Parquet out, read back from its partitions."""
     path = new_dir(d.spark, "curated")
     long = transform_sales_to_long(
-        d.spark, d.raw_path, calendar_path=d.raw_path, splits_per_store=8
+        d.spark, d.raw_path, calendar_path=d.calendar_path, splits_per_store=8
     )
     write_parquet(long, path, ["store_id"], rebalance=False)
     return read_daily_sales(d.spark, path)
@@ -157,7 +160,7 @@ def rolling_features(d: DemandDataset) -> DataFrame:
 
 @_register
 def calendar_flags(d: DemandDataset) -> DataFrame:
-    flagged = features.add_calendar_features(read_calendar(d.spark, d.raw_path))
+    flagged = features.add_calendar_features(read_calendar(d.spark, d.calendar_path))
     return flagged.select("d", "wday", "event_name_1", "is_weekend", "has_event")
 
 
@@ -346,6 +349,14 @@ def items_by_volume(d: DemandDataset) -> DataFrame:
     return _rounded(rows, "avg_sales")
 
 
+@_register
+def dept_items_by_volume(d: DemandDataset) -> DataFrame:
+    rows = serving.items_by_volume(
+        d.store.forecasts(), d.store.sales_history(), d.store.model_runs(), STORE, DEPT
+    )
+    return _rounded(rows, "avg_sales")
+
+
 @_register
 def avg_sales_by_item(d: DemandDataset) -> DataFrame:
     rows = serving.avg_sales_by_item(d.store.sales_history(), d.store.model_runs())
@@ -384,19 +395,19 @@ def daily_tiles(d: DemandDataset) -> DataFrame:
 
 
 @_register
-def delete_model_version(d: DemandDataset) -> DataFrame:
+def delete_version_(d: DemandDataset) -> DataFrame:
     left = delete_version(d.store.forecasts(), V1)
     return _rounded(left.drop("id", "created_at"), "predicted_sales")
 
 
 @_register
-def promote_model_version(d: DemandDataset) -> DataFrame:
+def promote_version_(d: DemandDataset) -> DataFrame:
     runs = promote_version(d.store.model_runs(), V2)
     return runs.select("run_id", "model_version", "is_active")
 
 
 @_register
-def append_model_run(d: DemandDataset) -> DataFrame:
+def append_run_(d: DemandDataset) -> DataFrame:
     """The store's runs plus one logged from a summary of its latest forecasts."""
     runs = d.store.model_runs()
     items = serving.items_by_name(d.store.forecasts(), runs).select("item_id").distinct().count()

@@ -7,6 +7,7 @@ day   = ship date, numbered from the first ship date in the data
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import cached_property
@@ -19,6 +20,9 @@ from shelfline.operators.reshape import join_calendar
 from shelfline.schemas import DAILY_SALES, ID_COLUMNS, SERIES
 from shelfline.sources.files import CALENDAR_FILE, SALES_FILE
 
+# Rows of a bucket of the daily fact, over all stores.
+BUCKET_ROWS = 2_000_000
+
 # Holidays of the calendar as (month-day, name, type).
 HOLIDAYS = (
     ("01-01", "NewYear", "National"),
@@ -141,6 +145,14 @@ class Star:
     def calendar(self) -> DataFrame:
         return calendar(self.spark, self.span)
 
+    def buckets(self) -> int:
+        """Buckets for the daily fact: by its size, and at least one per core."""
+        items = self.items.select("item_id").distinct().count()
+        stores = self.stores.select("store_id").distinct().count()
+        by_size = math.ceil(items * stores * self.span.days / BUCKET_ROWS)
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return max(by_size, min(shuffle, self.spark.sparkContext.defaultParallelism))
+
     def demand(self) -> DataFrame:
         """Units per item, store and day, for days with sales.
 
@@ -196,9 +208,11 @@ class Star:
             .agg(F.sum("sales"))
         )
 
-    def write_raw_files(self, raw_path: str) -> None:
-        """The two CSV inputs of the ETL pipeline."""
+    def write_sales_file(self, raw_path: str) -> None:
+        """The wide sales CSV, as the ETL pipeline reads it."""
         self.sales_wide().write.option("header", True).csv(f"{raw_path}/{SALES_FILE}")
+
+    def write_calendar_file(self, raw_path: str) -> None:
         self.calendar.withColumnRenamed("cal_date", "date").write.option("header", True).csv(
             f"{raw_path}/{CALENDAR_FILE}"
         )

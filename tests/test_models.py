@@ -1,9 +1,14 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 
 from frames import random_series, to_spark
-from shelfline.models.per_series import backtest_per_series, least_squares
+from shelfline.models.per_series import backtest_per_series, boosted_trees, least_squares
 from shelfline.models.pooled import backtest_pooled
 from shelfline.operators.features import build_features
 from shelfline.operators.metrics import series_metrics
@@ -54,6 +59,17 @@ def test_least_squares_recovers_a_line():
     np.testing.assert_allclose(pred, 3 + 2 * x[15:, 0])
 
 
+@pytest.mark.parametrize("learner", [least_squares, boosted_trees({"num_leaves": 7})])
+def test_learners_do_not_need_the_package_on_workers(tmp_path, learner):
+    (tmp_path / "learner.pickle").write_bytes(cloudpickle.dumps(learner))
+    code = "import pickle; print(callable(pickle.load(open('learner.pickle', 'rb'))))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True
+    )
+    assert done.stdout.strip() == "True", done.stderr
+
+
 def test_unknown_labels_are_left_out(spark):
     pdf = random_series(2, {("A_1", "S"): 120})
     pdf["sales"] = pdf["sales"].astype(object)

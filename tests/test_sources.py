@@ -48,6 +48,28 @@ def test_shared_dir_comes_from_the_session(spark):
     assert session.new_dir(spark, "x") != session.new_dir(spark, "x")
 
 
+def test_cluster_without_shared_dir_is_refused():
+    class Settings:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+        applicationId = "application_1"
+
+        def getConf(self):
+            return Settings()
+
+    class Session:
+        conf = Settings()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    Context.master, Context.applicationId = "local[2]", "local-1"
+    assert session.shared_dir(Session()) == session.shared_dir(Session())
+
+
 def test_store_path_is_lower_case():
     assert daily_sales_path("s3://curated/", "CA_1") == "s3://curated/daily_ca_1"
 
