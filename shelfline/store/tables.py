@@ -125,13 +125,16 @@ class ForecastStore:
         schema = T.StructType([*MODEL_RUNS.fields, T.StructField("snapshot", T.LongType())])
         return self._read("model_runs", schema)
 
-    def _last_snapshot(self) -> int:
-        return self._run_snapshots().agg(F.max("snapshot")).first()[0] or 0
+    def _newest_runs(self) -> tuple[int, DataFrame]:
+        """Number of the newest snapshot (0 without one) and its runs."""
+        snapshots = self._run_snapshots()
+        number = snapshots.agg(F.max("snapshot")).first()[0] or 0
+        newest = F.col("snapshot") == number
+        is_run = F.col("model_version").isNotNull()
+        return number, snapshots.where(newest & is_run).select(*MODEL_RUNS.names)
 
     def model_runs(self) -> DataFrame:
-        newest = F.col("snapshot") == self._last_snapshot()
-        is_run = F.col("model_version").isNotNull()
-        return self._run_snapshots().where(newest & is_run).select(*MODEL_RUNS.names)
+        return self._newest_runs()[1]
 
     # -- writing ------------------------------------------------------------------
 
@@ -200,12 +203,14 @@ class ForecastStore:
             parameters,
             trained_at,
         )
-        runs = append_run(self.model_runs(), run)
+        number, runs = self._newest_runs()
+        runs = append_run(runs, run)
         require_unique(runs, UNIQUE_KEYS["model_runs"])
-        self._save_runs(promote_version(runs, model_version))
+        self._save_runs(promote_version(runs, model_version), number + 1)
 
     def promote(self, version: str) -> None:
-        self._save_runs(promote_version(self.model_runs(), version))
+        number, runs = self._newest_runs()
+        self._save_runs(promote_version(runs, version), number + 1)
 
     def delete_model_version(self, version: str) -> None:
         """Remove a version from all three tables; repeating it does nothing.
@@ -213,15 +218,15 @@ class ForecastStore:
         The run goes first: without it no serving query can pick the version,
         whatever is left of its rows if the job dies in between.
         """
-        runs = self.model_runs()
+        number, runs = self._newest_runs()
         if not runs.where(F.col("model_version") == _checked(version)).isEmpty():
-            self._save_runs(delete_version(runs, version))
+            self._save_runs(delete_version(runs, version), number + 1)
         for table in _LAYOUT:
             self._drop_partition(table, version)
 
-    def _save_runs(self, runs: DataFrame) -> None:
+    def _save_runs(self, runs: DataFrame, number: int) -> None:
         marker = _one_run(self.spark, {})
-        path = f"{self.root}/model_runs/snapshot={self._last_snapshot() + 1}"
+        path = f"{self.root}/model_runs/snapshot={number}"
         runs.unionByName(marker).coalesce(1).write.mode("overwrite").parquet(path)
 
     def _drop_partition(self, table: str, version: str) -> None:
