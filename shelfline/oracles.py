@@ -136,7 +136,6 @@ def _with(*parts: str) -> str:
 
 _TO_CALENDAR = _with(_SPAN, _CALENDAR)
 _TO_DEMAND = _with(_SPAN, _DEMAND)
-_TO_CELLS = _with(_SPAN, _DEMAND, _CALENDAR, _CELLS)
 _TO_FACT = _with(_SPAN, _DEMAND, _CALENDAR, _CELLS, _FACT)
 _TO_FEATURES = _with(_SPAN, _DEMAND, _CALENDAR, _CELLS, _FACT, _FEATURES)
 _TO_SPLIT = _with(_SPAN, _DEMAND, _CALENDAR, _CELLS, _FACT, _FEATURES, _SPLIT)
@@ -147,15 +146,18 @@ _CALENDAR_LIST = "d, cal_date, wday, month, year, event_name_1, event_type_1"
 _IDS = ", ".join(ID_COLUMNS)
 _FEATURE_LIST = ", ".join(FEATURE_COLUMNS)
 
+_REAL_FEATURE_LIST = ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if c.startswith("sales_lag_") else c for c in FEATURE_COLUMNS
+)
+
 _PROFILED = [
     *ID_COLUMNS,
     *"d sales day_num cal_date wday month year event_name_1 event_type_1".split(),
 ]
-_DISTINCT = {"item_id", "store_id", "day_num"}
 _PROFILE = "\nUNION ALL\n".join(
     f"""SELECT count(*) AS row_count, '{c}' AS column_name, count(*) - count({c}) AS null_count,
        CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value,
-       CAST({f'count(DISTINCT {c})' if c in _DISTINCT else 'NULL'} AS BIGINT) AS distinct_count
+       count(DISTINCT {c}) AS distinct_count
 FROM fact"""
     for c in _PROFILED
 )
@@ -173,19 +175,19 @@ def all_oracles() -> dict[str, str]:
         "calendar_read": f"{_TO_CALENDAR} SELECT {_CALENDAR_LIST} FROM calendar",
         "filter_store": f"""{_TO_DEMAND}
             SELECT item_id, store_id, cal_date, sales, day_num FROM demand WHERE store_id = 'ASIA'""",
-        "wide_to_long": f"{_TO_CELLS} SELECT {_IDS}, d, sales FROM cells",
+        "wide_to_long": f"{_TO_FACT} SELECT {_IDS}, d, sales FROM fact",
         "day_number": f"{_TO_CALENDAR} SELECT d, day_num FROM calendar",
         "join_calendar": f"""{_with(_SPAN, _DEMAND, _CALENDAR)}
             SELECT x.store_id, x.item_id, c.d, x.sales, c.cal_date, c.wday, c.month, c.year,
                    c.event_name_1, c.event_type_1
             FROM demand x LEFT JOIN calendar c ON x.day_num = c.day_num""",
-        "etl_pipeline": f"""{_TO_CELLS}
+        "etl_pipeline": f"""{_TO_FACT}
             SELECT {_IDS}, d, sales, day_num, cal_date, wday, month, year, event_name_1, event_type_1
-            FROM cells""",
+            FROM fact""",
         "first_days_sample": f"""{_TO_DEMAND}
             SELECT item_id || '_' || store_id AS id, item_id, split_part(item_id, '_', 1) AS dept_id,
                    store_id, split_part(item_id, '_', 1) AS cat_id, store_id AS state_id,
-                   {', '.join(f'CAST(sum(sales) FILTER (WHERE day_num = {k}) AS INTEGER) AS d_{k}'
+                   {', '.join(f'CAST(coalesce(sum(sales) FILTER (WHERE day_num = {k}), 0) AS INTEGER) AS d_{k}'
                               for k in range(1, 8))}
             FROM demand GROUP BY item_id, store_id""",
         "item_slice": f"""{_TO_FACT}
@@ -203,8 +205,10 @@ def all_oracles() -> dict[str, str]:
             for c in FEATURE_COLUMNS
         ),
         "lag_features": f"""{_TO_DEMAND}
-            SELECT store_id, item_id, day_num, sales, lag(sales, 7) OVER s AS sales_lag_7,
-                   lag(sales, 14) OVER s AS sales_lag_14, lag(sales, 28) OVER s AS sales_lag_28
+            SELECT store_id, item_id, day_num, sales,
+                   CAST(lag(sales, 7) OVER s AS DOUBLE) AS sales_lag_7,
+                   CAST(lag(sales, 14) OVER s AS DOUBLE) AS sales_lag_14,
+                   CAST(lag(sales, 28) OVER s AS DOUBLE) AS sales_lag_28
             FROM demand WINDOW s AS (PARTITION BY store_id, item_id ORDER BY day_num)""",
         "rolling_features": f"""{_TO_DEMAND}
             SELECT store_id, item_id, day_num, sales,
@@ -218,7 +222,8 @@ def all_oracles() -> dict[str, str]:
         "calendar_flags": f"""{_TO_CALENDAR}
             SELECT d, wday, event_name_1, CASE WHEN wday IN (1, 2) THEN 1 ELSE 0 END AS is_weekend,
                    CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS has_event FROM calendar""",
-        "build_features": f"{_TO_FEATURES} SELECT store_id, item_id, sales, {_FEATURE_LIST} FROM features",
+        "build_features": f"""{_TO_FEATURES}
+            SELECT store_id, item_id, sales, {_REAL_FEATURE_LIST} FROM features""",
         "train_val_split": f"""{_TO_SPLIT}
             SELECT store_id, item_id, count(*) FILTER (WHERE NOT is_val) AS n_train,
                    count(*) FILTER (WHERE is_val) AS n_val,

@@ -61,6 +61,12 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def _real_lags(df: DataFrame) -> DataFrame:
+    """Lags as doubles, like the other features with missing values."""
+    lags = [c for c in df.columns if c.startswith("sales_lag_")]
+    return df.withColumns({c: F.col(c).cast("double") for c in lags})
+
+
 def _stamped(runs: DataFrame) -> DataFrame:
     """Training time as text, independent of the client's time zone."""
     return runs.withColumn("trained_at", F.date_format("trained_at", "yyyy-MM-dd HH:mm:ss"))
@@ -129,7 +135,7 @@ def fact_columns(d: DemandDataset) -> DataFrame:
 @_register
 def table_profile(d: DemandDataset) -> DataFrame:
     columns = [*ID_COLUMNS, "d", "sales", "day_num", *[c for c in CALENDAR_COLUMNS if c != "d"]]
-    return quality.table_profile(d.fact, columns, distinct=["item_id", "store_id", "day_num"])
+    return quality.table_profile(d.fact, columns, distinct=columns)
 
 
 @_register
@@ -149,7 +155,7 @@ def null_violations(d: DemandDataset) -> DataFrame:
 @_register
 def lag_features(d: DemandDataset) -> DataFrame:
     """Lags count rows, here days with sales."""
-    return features.add_lag_features(d.demand.select(*SERIES, "day_num", "sales"))
+    return _real_lags(features.add_lag_features(d.demand.select(*SERIES, "day_num", "sales")))
 
 
 @_register
@@ -167,7 +173,7 @@ def calendar_flags(d: DemandDataset) -> DataFrame:
 @_register
 def build_features(d: DemandDataset) -> DataFrame:
     out = features.build_features(d.fact).select(*SERIES, "sales", *FEATURE_COLUMNS)
-    return _rounded(out, *[c for c in FEATURE_COLUMNS if "rolling" in c])
+    return _real_lags(_rounded(out, *[c for c in FEATURE_COLUMNS if "rolling" in c]))
 
 
 def _split(d: DemandDataset) -> DataFrame:

@@ -209,8 +209,9 @@ class Star:
         )
 
     def write_sales_file(self, raw_path: str) -> None:
-        """The wide sales CSV, as the ETL pipeline reads it."""
-        self.sales_wide().write.option("header", True).csv(f"{raw_path}/{SALES_FILE}")
+        """The wide sales CSV, as the ETL pipeline reads it; days without sales are 0."""
+        writer = self.sales_wide().write.option("header", True).option("nullValue", "0")
+        writer.csv(f"{raw_path}/{SALES_FILE}")
 
     def write_calendar_file(self, raw_path: str) -> None:
         self.calendar.withColumnRenamed("cal_date", "date").write.option("header", True).csv(
