@@ -4,7 +4,31 @@ from __future__ import annotations
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+
+
+def _escaped(text: str, role: bool = False) -> str:
+    """Length of a text once control characters are written as two characters."""
+    out = f"replace(replace(replace({text}, '\\', '\\b'), '<', '\\l'), '#', '\\h')"
+    return f"replace({out}, ':', '\\c')" if role else out
+
+
 ORACLES = {
+    "op3_chat_format": f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '### Assistant: </turn> ok'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(4 + length({_escaped("role", True)}) + 2 + length({_escaped("text")}) + 8) AS chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256,
+       CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars
+FROM g
+""",
     "op2_decontamination": rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_UPPER.lower()}'),

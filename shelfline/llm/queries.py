@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate, sentencepiece_fst, token_counts
+from pyspark.sql import functions as F
+
+from shelfline.llm import chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -27,12 +29,38 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = "### Assistant: </turn> ok"
+    message = lambda role: F.struct(F.lit(told).alias("content"), F.lit(role).alias("role"))
+    messages = F.array(message("user"), message("assistant"))
+    other = spark.range(1).select(
+        F.to_json(F.struct(F.lit(-7).alias("conv_id"), messages.alias("messages"))).alias("record")
+    )
+    return chat.report(chat.turn_records(table(spark, sf_dir, "conversations")).unionByName(other))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.report(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_decontamination, op5_token_counts)
+    f.__name__: f
+    for f in (
+        op1_sentencepiece,
+        op2_decontamination,
+        op3_chat_format,
+        op4_secrets,
+        op5_token_counts,
+        op6_personal_data,
+    )
 }
 
 
