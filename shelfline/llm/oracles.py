@@ -57,5 +57,16 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN spots USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op8_warc_zip": """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS page FROM p WHERE payload_bytes >= 100 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page IS NOT NULL AND page IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page IS DISTINCT FROM page_id THEN page END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
 """,
 }

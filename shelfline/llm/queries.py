@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts
+from shelfline.llm import chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -51,6 +51,14 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.report(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.report(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -60,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_secrets,
         op5_token_counts,
         op6_personal_data,
+        op8_warc_zip,
+        op9_toxicity,
     )
 }
 
