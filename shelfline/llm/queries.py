@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
+from shelfline.llm import ann, chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -51,6 +51,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.report(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zip.report(table(spark, sf_dir, "pages"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_secrets,
         op5_token_counts,
         op6_personal_data,
+        op7_nearest,
         op8_warc_zip,
         op9_toxicity,
     )

@@ -3,7 +3,8 @@
 Examples are a bounded sample of labelled rows outside the held-out third (``EXAMPLES``
 rows of smallest hash). Terms are words and their beginnings of a few lengths (compounds
 share a beginning, not the word), and both again when a text repeats them; the vocabulary is the ``TERMS`` terms of the examples that
-tell the classes apart best (chi-square of at least ``CHI``, in at least ``DF`` examples). Everything
+tell the classes apart best (chi-square of at least ``CHI`` an
+example, in at least ``DF`` examples). Everything
 else covers whole texts of all documents. Similarity is the exact cosine of TF-IDF vectors.
 
 The examples are an inverted index in blocks of ``BLOCK``: for each term and block the
@@ -36,9 +37,12 @@ from shelfline.llm.common import saved, text_bytes, with_scanned
 from shelfline.llm.decontaminate import words_of
 
 EXAMPLES = 8_000
-TERMS = 4_096
-CHI, DF = 15.0, 4
+TERMS = 512
+#: Least chi-square, as a share of the number of examples, and least number of examples.
+CHI, DF = 0.006, 4
 BLOCK = 64
+#: Blocks that a search visits one by one before it adds up what may still count at once.
+FEW = 3
 NEIGHBOURS = 15
 #: Lengths, in characters, of the beginnings of longer words that are terms as well.
 BEGINNINGS = (4, 5, 6, 7)
@@ -152,22 +156,40 @@ class BlockMaxIndex:
         if not terms or not len(self.ids):
             return none
         bounds = np.asarray(weights) @ self.most[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
         rows, sims = none
-        for b in np.argsort(-bounds, kind="stable"):
+
+        def merge(here: np.ndarray, found: np.ndarray) -> None:
+            nonlocal rows, sims
+            some = (found > 0) & (here != without)
+            rows, sims = np.concatenate([rows, here[some]]), np.concatenate([sims, found[some]])
+            best = np.lexsort((rows, -sims))[:k]
+            rows, sims = rows[best], sims[best]
+
+        for visited, b in enumerate(order):
             # Rounding may put a bound just below the similarity it bounds.
-            if bounds[b] <= 0 or len(sims) == k and bounds[b] * (1 + 1e-9) < sims[-1]:
+            least = sims[-1] / (1 + 1e-9) if len(sims) == k else 0.0
+            if bounds[b] < least:
                 break
-            score = np.zeros(BLOCK)
+            if visited < FEW:
+                score = np.zeros(BLOCK)
+                for t, w in zip(terms, weights, strict=True):
+                    at, values = self.postings[t]
+                    part = slice(self.cuts[t, b], self.cuts[t, b + 1])
+                    score[at[part] - b * BLOCK] += w * values[part]
+                merge(np.arange(BLOCK) + b * BLOCK, score)
+                continue
+            # Many blocks left: add up whole postings, then take those of blocks in question.
+            score = np.zeros(len(bounds) * BLOCK)
             for t, w in zip(terms, weights, strict=True):
                 at, values = self.postings[t]
-                part = slice(self.cuts[t, b], self.cuts[t, b + 1])
-                score[at[part] - b * BLOCK] += w * values[part]
-            here = np.flatnonzero(score > 0)
-            here = here[here + b * BLOCK != without]
-            rows = np.concatenate([rows, here + b * BLOCK])
-            sims = np.concatenate([sims, score[here]])
-            best = np.lexsort((rows, -sims))[:k]
-            rows, sims = rows[best], sims[best]
+                score[at] += w * values
+            left = order[visited:][bounds[order[visited:]] >= least]
+            here = (left[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            here = here[score[here] >= least]
+            merge(here, score[here])
+            break
         return rows, sims
 
     def vote(self, rows: np.ndarray, sims: np.ndarray) -> float:
@@ -249,7 +271,7 @@ def fit(
         .agg(F.count("*").cast("double").alias("df"), F.sum("toxic").cast("double").alias("a"))
         .where(F.col("df") >= DF)
         .withColumn("chi", F.lit(float(total.n)) * F.pow(a * d - b * c, 2) / F.when(margins > 0, margins))
-        .where(F.col("chi") >= CHI)
+        .where(F.col("chi") >= CHI * total.n)
         .orderBy(F.desc("chi"), "word")
         .limit(terms)
     )
@@ -277,11 +299,23 @@ def with_scores(docs: DataFrame, index: BlockMaxIndex, text: str = "text", k: in
     def start():
         found = sent.value
         known = KnownTerms(found.terms)
+        # Short vectors repeat: many texts hold one or two terms.
+        seen: dict[tuple, tuple] = {}
+
+        def nearest(terms: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray]:
+            if len(terms) > 2:
+                return found.nearest(terms, weights, k)
+            key = (*terms, *weights)
+            if key not in seen:
+                if len(seen) >= 10_000:
+                    seen.clear()
+                seen[key] = found.nearest(terms, weights, k)
+            return seen[key]
 
         def step(texts: pa.Array) -> list[pa.Array]:
             scores, evidence = [], []
             for raw in text_bytes(texts):
-                rows, sims = found.nearest(*found.weights(known.counts(words_of(raw))), k)
+                rows, sims = nearest(*found.weights(known.counts(words_of(raw))))
                 scores.append(found.score(rows, sims))
                 evidence.append(
                     [
