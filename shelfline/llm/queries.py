@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, chat, decontaminate, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
+from shelfline.llm import ann, chat, decontaminate, jaccard, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -63,6 +63,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_nearest,
         op8_warc_zip,
         op9_toxicity,
+        op10_jaccard_join,
     )
 }
 
