@@ -6,8 +6,9 @@ Exact, in four steps; the sets themselves travel only for documents in question.
    first n - ceil(0.8 n) + 1 shingles, so documents meet at the keys of these prefixes.
    Keys of a single set are dropped by a sum (map-side combined) of the least and the
    greatest set id of each key; exact copies have one set id.
-2. *Stars.* At each key every set is compared with the least one, exactly. That links the
-   bulk of large groups of near copies with one comparison a set, not one a pair.
+2. *Stars.* At each key every set is compared with the least one: by size, by bitmap, and
+   exactly where these leave it open. That links the bulk of large groups of near copies
+   with one comparison a set, not one a pair.
 3. *Signature trees.* Keys whose sets are still in several components are searched for the
    remaining pairs: sets are leaves of a tree whose nodes hold the OR of token bitmaps and
    the range of sizes. A dual traversal drops node pairs whose maximum possible overlap
@@ -26,7 +27,7 @@ take no part in the smallest id of a component.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,13 @@ SENT_IDS = 4_000_000
 LEAF, FANOUT = 32, 8
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-SET_FIELDS = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("set_id", T.LongType())])
+SET_FIELDS = T.StructType(
+    [
+        T.StructField("n_shingles", T.LongType()),
+        T.StructField("set_id", T.LongType()),
+        T.StructField("bits", T.BinaryType()),
+    ]
+)
 
 
 class Shingler:
@@ -166,7 +173,7 @@ class SignatureTree:
 
 
 def with_set_ids(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_shingles`` and ``set_id`` (null without words)."""
+    """``docs`` with ``n_shingles``, ``set_id`` and ``bits`` (null without words)."""
 
     def start():
         shingle = Shingler()
@@ -174,7 +181,8 @@ def with_set_ids(docs: DataFrame, text: str = "text") -> DataFrame:
         def step(texts: pa.Array) -> list[pa.Array]:
             sets = [shingle(t) for t in text_bytes(texts)]
             ids = [set_id(s) if len(s) else None for s in sets]
-            return [pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64())]
+            bits = [bitmap(s).tobytes() if len(s) else None for s in sets]
+            return [pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary())]
 
         return step
 
@@ -204,7 +212,7 @@ def _keys(texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row for each wanted set: ``set_id``, ``hashes`` (sorted), ``bits``, ``n``."""
+    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, its sorted hashes."""
     ids = None
     if wanted.count() <= SENT_IDS:
         ids = texts.sparkSession.sparkContext.broadcast(
@@ -225,7 +233,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     if at == len(ids.value) or ids.value[at] != mine or mine in told:
                         continue
                     told.add(mine)
-                rows.append((mine, found.tobytes(), bitmap(found).tobytes(), len(found)))
+                rows.append((mine, len(found), found.tobytes()))
                 held += len(found)
                 if held > 1 << 20:
                     yield _batch(rows)
@@ -234,55 +242,79 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=["set_id", "hashes", "bits", "n"])
+        return pa.RecordBatch.from_arrays(columns, names=["set_id", "n", "payload"])
 
-    found = texts.mapInArrow(run, "set_id bigint, hashes binary, bits binary, n bigint")
+    found = texts.mapInArrow(run, "set_id bigint, n bigint, payload binary")
     if ids is None:
         found = found.join(wanted, "set_id", "left_semi")
     return found.dropDuplicates(["set_id"])
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``centre``, ``set_id``) that are alike, compared exactly.
+def _compared(pairs: DataFrame, payloads: DataFrame, test: Callable[[int, bytes, int, bytes], bool]) -> DataFrame:
+    """The pairs (``centre``, ``set_id``) whose sizes and payloads pass ``test``.
 
     Sets stream past their centre; a centre of many sets is repeated over several splits.
     """
     counts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("splits"))
-    hashes = sets.select("set_id", "hashes")
     split = F.pmod(F.xxhash64("set_id"), F.col("splits")).cast("int")
-    members = (
-        pairs.join(counts, "centre")
-        .select("centre", split.alias("split"), F.lit(1).alias("nth"), "set_id")
-        .join(hashes, "set_id")
-    )
-    centres = (
-        counts.select("centre", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split"))
-        .select("centre", "split", F.lit(0).alias("nth"), F.col("centre").alias("set_id"))
-        .join(hashes, "set_id")
+    members = pairs.join(counts, "centre").select("centre", split.alias("split"), F.lit(1).alias("nth"), "set_id")
+    centres = counts.select("centre", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split")).select(
+        "centre", "split", F.lit(0).alias("nth"), F.col("centre").alias("set_id")
     )
     rows = (
         members.unionByName(centres)
-        .select("centre", "split", "nth", "set_id", "hashes")
+        .join(payloads, "set_id")
+        .select("centre", "split", "nth", "set_id", "n", "payload")
         .repartition("centre", "split")
         .sortWithinPartitions("centre", "split", "nth")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, against = None, None
+        centre, against = None, (0, b"")
         for batch in batches:
             left, right = [], []
-            for c, _, nth, mine, raw in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                found = np.frombuffer(raw, np.uint64)
+            for c, _, nth, mine, n, raw in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if nth == 0:
-                    centre, against = c, found
-                elif centre == c and alike(found, against, percent):
+                    centre, against = c, (n, raw)
+                elif centre == c and test(n, raw, *against):
                     left.append(c)
                     right.append(mine)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["centre", "set_id"]
+            )
+
+    return rows.mapInArrow(run, "centre bigint, set_id bigint")
+
+
+def _plausible(star: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and bitmaps allow them to be alike."""
+    sizes = signs.select("set_id", "n")
+    sized = (
+        star.join(sizes.select("set_id", F.col("n").alias("own")), "set_id")
+        .join(sizes.select(F.col("set_id").alias("centre"), F.col("n").alias("against")), "centre")
+        .where(F.least("own", "against") * 100 >= F.greatest("own", "against") * percent)
+        .select("centre", "set_id")
+    )
+
+    def test(n: int, raw: bytes, m: int, other: bytes) -> bool:
+        a, b = np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64)
+        bits = int(np.bitwise_count(a & b).sum())
+        excess = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+        return (100 + percent) * min(bits + excess, n, m) >= percent * (n + m)
+
+    return _compared(saved(sized, "jaccard_sized"), signs.withColumnRenamed("bits", "payload"), test)
+
+
+def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are alike, compared exactly: ``a``, ``b``."""
+    wanted = saved(pairs.select("centre").union(pairs.select("set_id")).toDF("set_id").distinct(), "jaccard_wanted")
+
+    def test(n: int, raw: bytes, m: int, other: bytes) -> bool:
+        return alike(np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64), percent)
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return _compared(pairs, _sets(texts, wanted), test).toDF("a", "b")
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -308,7 +340,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components at a key that a signature tree cannot rule out."""
     placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "key", "set_id", "centre", F.coalesce("root", "set_id").alias("root")
@@ -333,7 +365,7 @@ def _rest(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -
             "root",
             "centre",
         )
-        .join(sets.select("set_id", "n", "bits"), "set_id")
+        .join(signs, "set_id")
         .select("key", "x", "y", "n", "set_id", "root", "centre", "block", "bits")
         .repartition("key", "x", "y")
         .sortWithinPartitions("key", "x", "y", "n", "set_id")
@@ -395,12 +427,13 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
         "jaccard_shared",
     )
     members = saved(keys.join(shared, "key").distinct(), "jaccard_members")
-    sets = saved(_sets(texts, members.select("set_id").distinct()), "jaccard_sets")
-    star = members.where("set_id != centre").select("centre", "set_id").distinct()
-    links = saved(_links(star, sets, percent), "jaccard_links")
+    signs = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.max("n_shingles").alias("n"), F.max("bits").alias("bits"))
+    signs = saved(signs.join(members.select("set_id").distinct(), "set_id", "left_semi"), "jaccard_signs")
+    star = saved(members.where("set_id != centre").select("centre", "set_id").distinct(), "jaccard_star")
+    links = saved(_links(saved(_plausible(star, signs, percent), "jaccard_pairs"), texts, percent), "jaccard_links")
     roots = saved(components(links), "jaccard_roots")
-    rest = saved(_rest(members, roots, sets, percent), "jaccard_rest")
-    more = saved(_links(rest, sets, percent), "jaccard_links")
+    rest = saved(_rest(members, roots, signs, percent), "jaccard_rest")
+    more = links.limit(0) if rest.isEmpty() else saved(_links(rest, texts, percent), "jaccard_links")
     roots = components(links.unionByName(more)).withColumnRenamed("node", "set_id")
     first = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only sets with copies or links need a look-up; all other documents stand alone.
