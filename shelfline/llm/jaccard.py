@@ -40,7 +40,7 @@ from shelfline.llm.common import saved, text_bytes, with_scanned
 
 SHINGLE = 5
 PERCENT = 80
-BITS = 2_048
+BITS = 1_024
 CACHE = 400_000
 #: Sets at one key that one task searches; more are split into pairs of blocks.
 KEY_ROWS = 4_096
@@ -113,6 +113,25 @@ def bitmap(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
+def wide_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Four bits or more a hash: 16 times smaller than the set, and it folds to fewer bits."""
+    size = max(64, 1 << (4 * len(hashes) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(hashes % np.uint64(size)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def may_be_alike(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether the bits common to two bitmaps, with the smaller excess, allow it."""
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    excess = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+    overlap = min(int(np.bitwise_count(a & b).sum()) + excess, n, m)
+    return (100 + percent) * overlap >= percent * (n + m)
+
+
 class SignatureTree:
     """Levels of nodes over sets in order of size: OR-combined bitmaps, sizes, most excess.
 
@@ -211,8 +230,8 @@ def _keys(texts: DataFrame, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, set_id bigint")
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, its sorted hashes."""
+def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, the bytes of ``packed(hashes)``."""
     ids = None
     if wanted.count() <= SENT_IDS:
         ids = texts.sparkSession.sparkContext.broadcast(
@@ -233,7 +252,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     if at == len(ids.value) or ids.value[at] != mine or mine in told:
                         continue
                     told.add(mine)
-                rows.append((mine, len(found), found.tobytes()))
+                rows.append((mine, len(found), packed(found).tobytes()))
                 held += len(found)
                 if held > 1 << 20:
                     yield _batch(rows)
@@ -299,22 +318,26 @@ def _plausible(star: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     )
 
     def test(n: int, raw: bytes, m: int, other: bytes) -> bool:
-        a, b = np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64)
-        bits = int(np.bitwise_count(a & b).sum())
-        excess = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
-        return (100 + percent) * min(bits + excess, n, m) >= percent * (n + m)
+        return may_be_alike(n, np.frombuffer(raw, np.uint64), m, np.frombuffer(other, np.uint64), percent)
 
     return _compared(saved(sized, "jaccard_sized"), signs.withColumnRenamed("bits", "payload"), test)
 
 
+def _wanted(pairs: DataFrame) -> DataFrame:
+    return saved(pairs.select("centre").union(pairs.select("set_id")).toDF("set_id").distinct(), "jaccard_wanted")
+
+
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are alike, compared exactly: ``a``, ``b``."""
-    wanted = saved(pairs.select("centre").union(pairs.select("set_id")).toDF("set_id").distinct(), "jaccard_wanted")
+    """The pairs that are alike, compared by wide bitmaps and then exactly: ``a``, ``b``."""
 
-    def test(n: int, raw: bytes, m: int, other: bytes) -> bool:
+    def near(n: int, raw: bytes, m: int, other: bytes) -> bool:
+        return may_be_alike(n, np.frombuffer(raw, np.uint64), m, np.frombuffer(other, np.uint64), percent)
+
+    def same(n: int, raw: bytes, m: int, other: bytes) -> bool:
         return alike(np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64), percent)
 
-    return _compared(pairs, _sets(texts, wanted), test).toDF("a", "b")
+    left = saved(_compared(pairs, _sets(texts, _wanted(pairs), wide_bitmap), near), "jaccard_pairs")
+    return _compared(left, _sets(texts, _wanted(left), lambda hashes: hashes), same).toDF("a", "b")
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
