@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.llm.common import saved
 
@@ -170,7 +171,7 @@ def _nearest_regions(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray
 
 def _regions(vectors: DataFrame, sent, probes: int) -> DataFrame:
     """Append ``regions``: the nearest ones of the vector's length, nearest first."""
-    schema = vectors.schema.add("regions", "array<int>")
+    schema = T.StructType([*vectors.schema.fields, T.StructField("regions", T.ArrayType(T.IntegerType()))])
     at = vectors.columns.index("vector")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
