@@ -10,7 +10,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from shelfline.models.per_series import boosted_trees
 from shelfline.operators.reshape import filter_by_store
 from shelfline.plans.backtest import Baseline, Forecaster, PerSeries, Pooled, run_backtest
 from shelfline.plans.etl import transform_sales_to_long
@@ -22,7 +21,6 @@ from shelfline.store import ForecastStore
 MODELS: dict[str, Forecaster] = {
     "baseline": Baseline(),
     "least-squares": PerSeries(),
-    "boosted-trees": PerSeries(boosted_trees()),
     "pooled-trees": Pooled(),
 }
 ALL = "ALL"

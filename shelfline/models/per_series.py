@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Mapping, Sequence
-from typing import Any
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -35,40 +34,6 @@ def least_squares(
     return y_train.mean() + (x_val - center) @ coef
 
 
-# Default boosting settings of the per-series tree learner.
-BOOSTING_DEFAULTS = {
-    "objective": "regression",
-    "metric": "mae",
-    "verbosity": -1,
-    "num_leaves": 31,
-    "learning_rate": 0.05,
-}
-BOOSTING_ROUNDS = 500
-BOOSTING_PATIENCE = 20
-
-
-def boosted_trees(params: Mapping[str, Any] | None = None) -> Learner:
-    """Gradient-boosted trees, stopped early on the holdout; needs ``lightgbm``."""
-    settings = {**BOOSTING_DEFAULTS, **(params or {})}
-
-    def learn(
-        x_train: np.ndarray, y_train: np.ndarray, x_val: np.ndarray, y_val: np.ndarray
-    ) -> np.ndarray:
-        import lightgbm
-
-        train = lightgbm.Dataset(x_train, label=y_train)
-        booster = lightgbm.train(
-            settings,
-            train,
-            num_boost_round=BOOSTING_ROUNDS,
-            valid_sets=[train.create_valid(x_val, label=y_val)],
-            callbacks=[lightgbm.early_stopping(BOOSTING_PATIENCE, verbose=False)],
-        )
-        return booster.predict(x_val, num_iteration=booster.best_iteration)
-
-    return learn
-
-
 def backtest_per_series(
     split: DataFrame,
     learner: Learner = least_squares,

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfline.functions import event_flag, weekend_flag
 from shelfline.schemas import DEFAULT_LAGS, DEFAULT_WINDOWS, SERIES
@@ -36,30 +35,6 @@ def _sliding_columns(windows: Sequence[int]) -> dict[str, Column]:
     return out
 
 
-# Running totals over all earlier rows of the series: values, squares, count.
-_RUNNING = ("_run_sum", "_run_squares", "_run_count")
-
-
-def _running_totals() -> dict[str, Column]:
-    before = series_window().rowsBetween(Window.unboundedPreceding, -1)
-    units = F.col("sales").cast("long")
-    totals = (F.sum(units), F.sum(units * units), F.count("sales"))
-    return {
-        name: F.coalesce(total.over(before), F.lit(0)) for name, total in zip(_RUNNING, totals)
-    }
-
-
-def _differenced_columns(windows: Sequence[int]) -> dict[str, Column]:
-    w = series_window()
-    out: dict[str, Column] = {}
-    for n in windows:
-        s, q, c = (F.col(r) - F.coalesce(F.lag(r, n).over(w), F.lit(0)) for r in _RUNNING)
-        full = c == n
-        out[f"sales_rolling_mean_{n}"] = F.when(full, s / n)
-        out[f"sales_rolling_std_{n}"] = F.when(full, F.sqrt((q * n - s * s) / (n * (n - 1))))
-    return out
-
-
 def calendar_columns() -> dict[str, Column]:
     return {"is_weekend": weekend_flag("wday"), "has_event": event_flag("event_name_1")}
 
@@ -68,28 +43,14 @@ def add_lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS) -> DataF
     return df.withColumns(lag_columns(lags))
 
 
-def _can_difference(df: DataFrame) -> bool:
-    """Integer sales, and overflow of the running totals raised rather than wrapped."""
-    integers = (T.ByteType, T.ShortType, T.IntegerType)
-    checked = df.sparkSession.conf.get("spark.sql.ansi.enabled").lower() == "true"
-    return checked and isinstance(df.schema["sales"].dataType, integers)
-
-
 def _add_rolling(
     df: DataFrame, windows: Sequence[int], others: dict[str, Column]
 ) -> DataFrame:
     """Mean and sample deviation of the ``n`` rows before the current one.
 
-    NULL until ``n`` non-null values are available. A sliding frame re-aggregates
-    ``n`` rows for every row. Integer sales allow an exact shortcut: differences
-    of running totals, constant work per row whatever the window. The totals are
-    longs, enough for series of 100,000 days with up to nine million units each;
-    beyond that Spark raises an overflow, and ``sales`` cast to double works.
-    Other types use the sliding frame, as differencing would lose precision.
+    NULL until ``n`` non-null values are available. Frames slide, so sales of any
+    numeric type and size are safe: no total grows with the length of a series.
     """
-    if _can_difference(df):
-        totals = df.withColumns({**_running_totals(), **others})
-        return totals.withColumns(_differenced_columns(windows)).drop(*_RUNNING)
     return df.withColumns({**others, **_sliding_columns(windows)})
 
 

@@ -341,7 +341,10 @@ def fact_dept_summary(fact: DataFrame) -> DataFrame:
 
 
 def daily_tiles(fact: DataFrame, backtest: DataFrame) -> DataFrame:
-    """Mean daily sales and days of every series with its baseline MAE and RMSE."""
+    """Mean daily sales and days of every series with its baseline MAE and RMSE.
+
+    Series too short for a backtest have NULL scores.
+    """
     volume = fact.groupBy(*SERIES).agg(
         F.avg("sales").alias("avg_daily_sales"), F.count(F.lit(1)).alias("total_days")
     )
@@ -349,4 +352,4 @@ def daily_tiles(fact: DataFrame, backtest: DataFrame) -> DataFrame:
         mean_absolute_error("sales", "predicted").alias("mae"),
         root_mean_squared_error("sales", "predicted").alias("rmse"),
     )
-    return volume.join(errors, SERIES)
+    return volume.join(errors, SERIES, "left")

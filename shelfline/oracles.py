@@ -338,11 +338,11 @@ def all_oracles() -> dict[str, str]:
         "daily_tiles": f"""{_TO_BACKTEST}, {_SERIES_SCORES}
             SELECT f.store_id, f.item_id, round(avg(f.sales), 6) AS avg_daily_sales,
                    count(*) AS total_days, round(max(s.mae), 6) AS mae, round(max(s.rmse), 6) AS rmse
-            FROM fact f JOIN series s ON f.store_id = s.store_id AND f.item_id = s.item_id
+            FROM fact f LEFT JOIN series s ON f.store_id = s.store_id AND f.item_id = s.item_id
             GROUP BY f.store_id, f.item_id""",
         "delete_version": f"""{_TO_STORE}
             SELECT item_id, store_id, forecast_date, round(predicted_sales, 6) AS predicted_sales,
-                   model_version FROM forecasts WHERE model_version <> 'v1.0'""",
+                   model_version FROM forecasts WHERE model_version IS DISTINCT FROM 'v1.0'""",
         "promote_version": f"""{_TO_STORE}
             SELECT run_id, model_version, model_version = 'v2.0' AS is_active FROM runs""",
         "append_run": f"""{_TO_STORE}

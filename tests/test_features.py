@@ -103,3 +103,12 @@ def test_one_exchange_and_one_sort(spark, plan_of):
         plan = plan_of(build_features(to_spark(spark, ramp(), kind)))
         assert plan.count("Exchange hashpartitioning") == 1
         assert plan.count("Sort [") == 1
+
+
+def test_rolling_features_of_large_units_do_not_overflow(spark):
+    rows = [("A_1", "S", day, 2_000_000_000 - day % 3) for day in range(1, 41)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, day_num int, sales int")
+    out = add_rolling_features(df).orderBy("day_num").toPandas()
+    sales = pd.Series([float(r[3]) for r in rows])
+    expected = sales.shift(1).rolling(7).mean()
+    np.testing.assert_allclose(out["sales_rolling_mean_7"].astype(float), expected, rtol=1e-12)
