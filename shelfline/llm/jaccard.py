@@ -2,7 +2,7 @@
 
 Exact, in four steps; the sets themselves travel only for documents in question.
 
-1. *Blocks.* Shingles are ordered by hash. Two sets of similarity 0.8 share one of their
+1. *Blocks.* One pass over the texts keeps bitmaps and prefixes. Shingles are ordered by hash. Two sets of similarity 0.8 share one of their
    first n - ceil(0.8 n) + 1 shingles, so documents meet at the keys of these prefixes.
    Keys of a single set are dropped by a sum (map-side combined) of the least and the
    greatest set id of each key; exact copies have one set id.
@@ -56,6 +56,8 @@ SET_FIELDS = T.StructType(
         T.StructField("n_shingles", T.LongType()),
         T.StructField("set_id", T.LongType()),
         T.StructField("bits", T.BinaryType()),
+        T.StructField("text_id", T.LongType()),
+        T.StructField("prefix", T.ArrayType(T.LongType())),
     ]
 )
 
@@ -191,51 +193,41 @@ class SignatureTree:
                 stack.append((level - 1, x2[inside], y2[inside]))
 
 
-def with_set_ids(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_shingles``, ``set_id`` and ``bits`` (null without words)."""
+def text_id(raw: bytes) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(raw), "little", signed=True)
+
+
+def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with ``n_shingles``, ``set_id``, ``bits``, ``text_id`` and ``prefix`` (null without words)."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
 
     def start():
         shingle = Shingler()
 
+        def described(raw: bytes) -> tuple:
+            found = shingle(raw)
+            if not len(found):
+                return 0, None, None, None, None
+            return len(found), set_id(found), bitmap(found).tobytes(), text_id(raw), prefix(found, percent).view(np.int64)
+
         def step(texts: pa.Array) -> list[pa.Array]:
-            sets = [shingle(t) for t in text_bytes(texts)]
-            ids = [set_id(s) if len(s) else None for s in sets]
-            bits = [bitmap(s).tobytes() if len(s) else None for s in sets]
-            return [pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array(bits, pa.binary())]
+            rows = [described(t) for t in text_bytes(texts)]
+            return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
 
         return step
 
     return with_scanned(docs, text, SET_FIELDS, start)
 
 
-def _keys(texts: DataFrame, percent: int) -> DataFrame:
-    """Prefix keys of every text: ``key``, ``set_id``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler()
-        for batch in batches:
-            keys, ids, held = [], [], 0
-            for raw in text_bytes(batch.column(0)):
-                found = shingle(raw)
-                if len(found):
-                    keys.append(prefix(found, percent).view(np.int64))
-                    ids.append(np.full(len(keys[-1]), set_id(found), np.int64))
-                    held += len(keys[-1])
-                if held > 1 << 18:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "set_id"])
-                    keys, ids, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "set_id"])
-
-    return texts.mapInArrow(run, "key bigint, set_id bigint")
-
-
 def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, the bytes of ``packed(hashes)``."""
+    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, the bytes of ``packed(hashes)``.
+
+    ``wanted`` names one text of each set, so that no other text is cut into shingles.
+    """
     ids = None
     if wanted.count() <= SENT_IDS:
         ids = texts.sparkSession.sparkContext.broadcast(
-            np.sort(np.array([r[0] for r in wanted.toLocalIterator()], np.int64))
+            np.sort(np.array([r[0] for r in wanted.select("text_id").toLocalIterator()], np.int64))
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,16 +235,16 @@ def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np
         for batch in batches:
             rows, held = [], 0
             for raw in text_bytes(batch.column(0)):
+                if ids is not None:
+                    name = text_id(raw)
+                    at = np.searchsorted(ids.value, name)
+                    if at == len(ids.value) or ids.value[at] != name or name in told:
+                        continue
+                    told.add(name)
                 found = shingle(raw)
                 if not len(found):
                     continue
-                mine = set_id(found)
-                if ids is not None:
-                    at = np.searchsorted(ids.value, mine)
-                    if at == len(ids.value) or ids.value[at] != mine or mine in told:
-                        continue
-                    told.add(mine)
-                rows.append((mine, len(found), packed(found).tobytes()))
+                rows.append((set_id(found), len(found), packed(found).tobytes()))
                 held += len(found)
                 if held > 1 << 20:
                     yield _batch(rows)
@@ -267,7 +259,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np
 
     found = texts.mapInArrow(run, "set_id bigint, n bigint, payload binary")
     if ids is None:
-        found = found.join(wanted, "set_id", "left_semi")
+        found = found.join(wanted.select("set_id"), "set_id", "left_semi")
     return found.dropDuplicates(["set_id"])
 
 
@@ -320,14 +312,27 @@ def _plausible(star: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     def test(n: int, raw: bytes, m: int, other: bytes) -> bool:
         return may_be_alike(n, np.frombuffer(raw, np.uint64), m, np.frombuffer(other, np.uint64), percent)
 
-    return _compared(saved(sized, "jaccard_sized"), signs.withColumnRenamed("bits", "payload"), test)
+    return _compared(saved(sized, "jaccard_sized"), signs.select("set_id", "n", F.col("bits").alias("payload")), test)
+
 
+def _wanted(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    ids = pairs.select("centre").union(pairs.select("set_id")).toDF("set_id").distinct()
+    return saved(ids.join(signs.select("set_id", "text_id"), "set_id"), "jaccard_wanted")
 
-def _wanted(pairs: DataFrame) -> DataFrame:
-    return saved(pairs.select("centre").union(pairs.select("set_id")).toDF("set_id").distinct(), "jaccard_wanted")
 
+def _distinct_keys(members: DataFrame) -> DataFrame:
+    """``members`` with one key of those at which the same sets meet: a shared passage has many."""
+    name = F.xxhash64("set_id")
+    met = members.groupBy("key").agg(
+        F.min("set_id").alias("low"),
+        F.count("*").alias("rows"),
+        F.sum(name.bitwiseAND(0xFFFFFFFF)).alias("x"),
+        F.sum(F.shiftrightunsigned(name, 32)).alias("y"),
+    )
+    return members.join(met.groupBy("low", "rows", "x", "y").agg(F.min("key").alias("key")), "key", "left_semi")
 
-def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+
+def _links(pairs: DataFrame, texts: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     """The pairs that are alike, compared by wide bitmaps and then exactly: ``a``, ``b``."""
 
     def near(n: int, raw: bytes, m: int, other: bytes) -> bool:
@@ -336,8 +341,8 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def same(n: int, raw: bytes, m: int, other: bytes) -> bool:
         return alike(np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64), percent)
 
-    left = saved(_compared(pairs, _sets(texts, _wanted(pairs), wide_bitmap), near), "jaccard_pairs")
-    return _compared(left, _sets(texts, _wanted(left), lambda hashes: hashes), same).toDF("a", "b")
+    left = saved(_compared(pairs, _sets(texts, _wanted(pairs, signs), wide_bitmap), near), "jaccard_pairs")
+    return _compared(left, _sets(texts, _wanted(left, signs), lambda hashes: hashes), same).toDF("a", "b")
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -388,7 +393,7 @@ def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int)
             "root",
             "centre",
         )
-        .join(signs, "set_id")
+        .join(signs.drop("text_id"), "set_id")
         .select("key", "x", "y", "n", "set_id", "root", "centre", "block", "bits")
         .repartition("key", "x", "y")
         .sortWithinPartitions("key", "x", "y", "n", "set_id")
@@ -437,11 +442,12 @@ def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int)
 def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document.
 
-    Texts are read again in each pass instead of being kept.
+    Shingles are kept as bitmaps and prefixes; only texts in question are cut again.
     """
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    base = saved(with_set_ids(docs.select("doc_id", F.col(text).cast("string").alias("text"))).drop("text"), "jaccard_base")
-    keys = _keys(texts, percent)
+    whole = docs.select("doc_id", F.col(text).cast("string").alias("text"))
+    base = saved(with_set_ids(whole, "text", percent).drop("text"), "jaccard_base")
+    keys = base.where("set_id IS NOT NULL").select(F.explode("prefix").alias("key"), "set_id")
     shared = saved(
         keys.groupBy("key")
         .agg(F.min("set_id").alias("centre"), F.max("set_id").alias("last"))
@@ -450,13 +456,16 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
         "jaccard_shared",
     )
     members = saved(keys.join(shared, "key").distinct(), "jaccard_members")
-    signs = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.max("n_shingles").alias("n"), F.max("bits").alias("bits"))
+    members = saved(_distinct_keys(members), "jaccard_members")
+    signs = base.where("set_id IS NOT NULL").groupBy("set_id").agg(
+        F.max("n_shingles").alias("n"), F.max("bits").alias("bits"), F.min("text_id").alias("text_id")
+    )
     signs = saved(signs.join(members.select("set_id").distinct(), "set_id", "left_semi"), "jaccard_signs")
     star = saved(members.where("set_id != centre").select("centre", "set_id").distinct(), "jaccard_star")
-    links = saved(_links(saved(_plausible(star, signs, percent), "jaccard_pairs"), texts, percent), "jaccard_links")
+    links = saved(_links(saved(_plausible(star, signs, percent), "jaccard_pairs"), texts, signs, percent), "jaccard_links")
     roots = saved(components(links), "jaccard_roots")
     rest = saved(_rest(members, roots, signs, percent), "jaccard_rest")
-    more = links.limit(0) if rest.isEmpty() else saved(_links(rest, texts, percent), "jaccard_links")
+    more = links.limit(0) if rest.isEmpty() else saved(_links(rest, texts, signs, percent), "jaccard_links")
     roots = components(links.unionByName(more)).withColumnRenamed("node", "set_id")
     first = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only sets with copies or links need a look-up; all other documents stand alone.
