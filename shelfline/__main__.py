@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from shelfline.operators.reshape import filter_by_store
+from shelfline.operators.reshape import FILE_ROWS, filter_by_store
 from shelfline.plans.backtest import Baseline, Forecaster, PerSeries, Pooled, run_backtest
 from shelfline.plans.etl import transform_sales_to_long
 from shelfline.schemas import DEFAULT_HORIZON
@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     jobs = p.add_subparsers(dest="job", required=True)
     etl = jobs.add_parser("etl")
     etl.add_argument("--raw", required=True, help="folder of the sales and calendar CSV")
-    etl.add_argument("--splits", type=int, default=8, help="output files per store")
+    etl.add_argument("--file-rows", type=int, default=FILE_ROWS, help="rows of an output file")
     backtest = jobs.add_parser("backtest")
     backtest.add_argument("--store", required=True, help="root of the prediction store")
     backtest.add_argument("--model-version", required=True)
@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     path = daily_sales_path(args.curated, args.store_id)
     if args.job == "etl":
         long = transform_sales_to_long(
-            spark, args.raw, one_store, calendar_path=args.raw, splits_per_store=args.splits
+            spark, args.raw, one_store, calendar_path=args.raw, file_rows=args.file_rows
         )
         write_parquet(long, path, ["store_id"], rebalance=False)
         print(f"wrote {path}")

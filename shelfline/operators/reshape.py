@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from shelfline.functions import day_number
 from shelfline.schemas import CALENDAR_COLUMNS, DAY_PREFIX, ID_COLUMNS
 
+# Long rows of one output file of the curated fact.
+FILE_ROWS = 2_000_000
+
+
+def whole_number(column: Column) -> Column:
+    """Text as an integer: decimals are cut off, other text becomes NULL."""
+    return column.try_cast("double").try_cast("int")
+
 
 def day_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith(DAY_PREFIX)]
@@ -21,17 +29,26 @@ def filter_by_store(df: DataFrame, store_id: str) -> DataFrame:
     return df.where(F.col("store_id") == store_id)
 
 
-def cluster_by_store(wide: DataFrame, splits: int) -> DataFrame:
-    """Place the wide rows of each store in at most ``splits`` tasks.
+def cluster_by_store(wide: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Place the wide rows of each store in tasks of about ``file_rows`` long rows.
 
     Done before the unpivot, this shuffles one compact row per series instead of
-    one row per day, and a later write partitioned by store yields at most
-    ``splits`` files per directory. A store with most of the rows still spreads
-    over ``splits`` tasks.
+    one row per day, and a later write partitioned by store yields one file per
+    slot. A store gets slots in proportion to its rows, so one with most of them
+    spreads over most of the tasks. The count per store reads two columns.
     """
-    tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slot = F.pmod(F.hash("item_id"), F.lit(splits))
-    return wide.repartition(tasks, F.col("store_id"), slot)
+    days = max(1, len(day_columns(wide)))
+    slots = wide.groupBy("store_id").agg(
+        F.ceil(F.count(F.lit(1)) * days / file_rows).cast("int").alias("_slots")
+    )
+    tasks = max(
+        slots.agg(F.coalesce(F.sum("_slots"), F.lit(0))).first()[0],
+        int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+    )
+    known = slots.select(F.col("store_id").alias("_store"), "_slots")
+    placed = wide.join(known, F.col("store_id").eqNullSafe(F.col("_store")))
+    slot = F.pmod(F.hash(*ID_COLUMNS), F.col("_slots"))
+    return placed.repartition(tasks, F.col("store_id"), slot).select(*[F.col(_quoted(c)) for c in wide.columns])
 
 
 def wide_to_long(df: DataFrame) -> DataFrame:
@@ -50,7 +67,7 @@ def wide_to_long(df: DataFrame) -> DataFrame:
     long = df.select(
         *ID_COLUMNS, F.explode(F.map_from_arrays(names, cells)).alias("d", "sales")
     )
-    return long.withColumn("sales", F.col("sales").try_cast("int"))
+    return long.withColumn("sales", whole_number(F.col("sales")))
 
 
 def add_day_number(df: DataFrame) -> DataFrame:
@@ -71,7 +88,7 @@ def join_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def first_days(df: DataFrame, n: int = 7) -> DataFrame:
     """Narrow sample of the wide table: ids and the first ``n`` days as integers."""
-    days: list[Column] = [F.col(_quoted(d)).try_cast("int").alias(d) for d in day_columns(df)[:n]]
+    days: list[Column] = [whole_number(F.col(_quoted(d))).alias(d) for d in day_columns(df)[:n]]
     return df.select(*ID_COLUMNS, *days)
 
 

@@ -21,19 +21,19 @@ def transform_sales_to_long(
     store_id: str | None = None,
     add_day_num: bool = True,
     calendar_path: str | None = None,
-    splits_per_store: int | None = None,
+    file_rows: int | None = None,
 ) -> DataFrame:
     """Read, optionally keep one store, unpivot, number the days, add the calendar.
 
     The store filter runs on the wide rows, before each becomes one row per day.
-    With ``store_id=None`` all stores are transformed. ``splits_per_store``
-    clusters the wide rows for an output partitioned by store.
+    With ``store_id=None`` all stores are transformed. ``file_rows`` clusters
+    the wide rows for an output partitioned by store, with so many rows a file.
     """
     sales = read_sales_wide(spark, raw_path)
     if store_id is not None:
         sales = filter_by_store(sales, store_id)
-    if splits_per_store is not None:
-        sales = cluster_by_store(sales, splits_per_store)
+    if file_rows is not None:
+        sales = cluster_by_store(sales, file_rows)
     columns = [*ID_COLUMNS, "d", "sales"]
     long = wide_to_long(sales)
     if add_day_num:

@@ -106,7 +106,7 @@ def etl_pipeline(d: DemandDataset) -> DataFrame:
     """CSV in, curated Parquet out, read back from its partitions."""
     path = new_dir(d.spark, "curated")
     long = transform_sales_to_long(
-        d.spark, d.raw_path, calendar_path=d.calendar_path, splits_per_store=8
+        d.spark, d.raw_path, calendar_path=d.calendar_path, file_rows=reshape.FILE_ROWS
     )
     write_parquet(long, path, ["store_id"], rebalance=False)
     return read_daily_sales(d.spark, path)

@@ -25,7 +25,7 @@ def read_calendar(spark: SparkSession, raw_path: str) -> DataFrame:
     return raw.select(
         "d",
         F.col("date").try_cast("date").alias("cal_date"),
-        *[F.col(c).try_cast("int").alias(c) for c in ("wday", "month", "year")],
+        *[F.col(c).try_cast("double").try_cast("int").alias(c) for c in ("wday", "month", "year")],
         "event_name_1",
         "event_type_1",
     )

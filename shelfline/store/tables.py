@@ -1,7 +1,8 @@
 """Versioned forecasts, actuals and model runs as Parquet tables.
 
 ``forecasts`` and ``sales_history`` are partitioned by ``model_version``: a
-version is replaced by a dynamic partition overwrite and removed by dropping its
+version is replaced by a dynamic partition overwrite, which leaves the old rows in
+place until the new ones are written, and removed by dropping its
 directory. ``model_runs`` is a handful of rows that change in place (activation),
 so every change writes a complete new snapshot directory and readers use the
 newest one; a path is never overwritten while it is being read. A snapshot also
@@ -156,10 +157,15 @@ class ForecastStore:
         rows = not_null(
             rows.withColumn("model_version", F.lit(_checked(version))), NOT_NULL[table]
         )
-        require_unique(rows, UNIQUE_KEYS[table])
-        if mode == "replace":
-            self._drop_partition(table, version)
-        last = self._read(table, schema).agg(F.max("id")).first()[0]
+        stored = self._read(table, schema)
+        keys = UNIQUE_KEYS[table]
+        mine = F.col("model_version") == version
+        if mode == "append":
+            require_unique(rows.select(*keys).unionByName(stored.where(mine).select(*keys)), keys)
+        else:
+            require_unique(rows, keys)
+            stored = stored.where(~mine)
+        last = stored.agg(F.max("id")).first()[0]
         base = 0 if last is None else last + 1
         # Range placement makes each file cover its own stretch of series, so
         # min/max statistics skip files on item and store lookups. Keys are
@@ -172,11 +178,15 @@ class ForecastStore:
             placed.withColumn("id", F.lit(base) + F.monotonically_increasing_id())
             .select(*[c for c in schema.names if c != "model_version"], "model_version")
             .observe(counted, F.count(F.lit(1)).alias("rows"))
-            .write.mode("append")
+            .write.mode("append" if mode == "append" else "overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("model_version")
             .parquet(f"{self.root}/{table}")
         )
-        return counted.get["rows"]
+        written = counted.get["rows"]
+        if mode == "replace" and not written:  # an overwrite by no rows replaces nothing
+            self._drop_partition(table, version)
+        return written
 
     def log_model_run(
         self,

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.operators import reshape
 from shelfline.plans.etl import transform_sales_to_long
@@ -103,14 +104,14 @@ def test_first_days(spark, raw):
     assert {r.id: r.d_2 for r in out.collect()} == {"F_1_CA": None, "F_1_TX": None, "G_2_CA": 5}
 
 
-@pytest.mark.parametrize("splits", [None, 1, 4])
-def test_pipeline_and_round_trip(spark, raw, tmp_path, splits):
+@pytest.mark.parametrize("file_rows", [None, 1, 4])
+def test_pipeline_and_round_trip(spark, raw, tmp_path, file_rows):
     long = transform_sales_to_long(
-        spark, raw, "CA", calendar_path=raw, splits_per_store=splits
+        spark, raw, "CA", calendar_path=raw, file_rows=file_rows
     )
     assert long.columns == DAILY_SALES.names
     out = str(tmp_path / "curated")
-    write_parquet(long, out, ["store_id"], rebalance=splits is None)
+    write_parquet(long, out, ["store_id"], rebalance=file_rows is None)
     back = read_daily_sales(spark, out)
     assert back.schema == DAILY_SALES
     rows = {(r.id, r.day_num): r for r in back.collect()}
@@ -138,11 +139,27 @@ def test_partition_values_stay_strings(spark, tmp_path):
 def test_store_clustering_bounds_files(spark, tmp_path):
     rows = [(f"{i}", f"I_{i}", "D", "BIG" if i % 3 else "TINY", "C", "S", "1") for i in range(300)]
     wide = spark.createDataFrame(rows, [*ID_COLUMNS, "d_1"]).repartition(8)
-    placed = reshape.cluster_by_store(wide, 2)
+    placed = reshape.cluster_by_store(wide, 100)
     out = tmp_path / "p"
     write_parquet(reshape.wide_to_long(placed), str(out), ["store_id"], rebalance=False)
-    for store in ("BIG", "TINY"):
-        assert 1 <= len(list((out / f"store_id={store}").glob("*.parquet"))) <= 2
+    assert placed.columns == wide.columns and placed.count() == 300
+    for store, most in (("BIG", 2), ("TINY", 1)):
+        assert 1 <= len(list((out / f"store_id={store}").glob("*.parquet"))) <= most
+
+
+def test_large_store_uses_tasks_in_proportion(spark):
+    rows = [(f"{i}", f"I_{i}", "D", "BIG" if i % 10 else "TINY", "C", "S", "1") for i in range(1000)]
+    wide = spark.createDataFrame(rows, [*ID_COLUMNS, "d_1"])
+    placed = reshape.cluster_by_store(wide, 10).withColumn("task", F.spark_partition_id())
+    used = {r.store_id: r.n for r in placed.groupBy("store_id").agg(F.countDistinct("task").alias("n")).collect()}
+    assert used["BIG"] > 40 and used["TINY"] <= 10
+
+
+def test_numbers_as_text(spark):
+    texts = ["3.0", "3", "-2.9", "1e2", "junk", "", "NaN", "1e99", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(reshape.whole_number(F.col("t"))).collect()]
+    assert got == [3, 3, -2, 100, None, None, None, None, None]
 
 
 def test_peek_and_slice(spark, raw):

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import random_series, to_spark
 from shelfline.operators import serving
@@ -73,11 +74,34 @@ def test_replacing_with_nothing_leaves_nothing(spark, store):
 def test_append_keeps_earlier_rows_and_grows_ids(spark, store):
     store.write_forecasts(predictions(spark), "v1.0")
     first = store.forecasts().agg({"id": "max"}).first()[0]
-    store.write_forecasts(predictions(spark, 5.0), "v1.0", mode="append")
+    later = predictions(spark, 5.0).withColumn("forecast_date", F.date_add("forecast_date", 400))
+    store.write_forecasts(later, "v1.0", mode="append")
     assert store.forecasts().count() == 6
     assert store.forecasts().where(f"id > {first}").count() == 3
 
 
+def test_append_refuses_stored_keys(spark, store):
+    store.write_forecasts(predictions(spark), "v1.0")
+    with pytest.raises(ValueError, match="duplicate key"):
+        store.write_forecasts(predictions(spark, 5.0), "v1.0", mode="append")
+    assert store.forecasts().count() == 3
+    store.write_forecasts(predictions(spark, 5.0), "v2.0", mode="append")
+    assert store.forecasts().count() == 6
+
+
+def test_failed_replace_keeps_the_old_version(spark, store):
+    store.write_forecasts(predictions(spark), "v1.0")
+    before = sorted(store.forecasts().collect())
+    broken = predictions(spark, 5.0).withColumn(
+        "predicted_sales", F.raise_error(F.lit("broken input")).cast("double")
+    )
+    with pytest.raises(Exception, match="broken input"):
+        store.write_forecasts(broken, "v1.0")
+    assert sorted(store.forecasts().collect()) == before
+    assert store.write_forecasts(predictions(spark).limit(0), "v1.0") == 0
+    assert store.forecasts().isEmpty()
+
+
 def test_constraints_are_checked(spark, store):
     twice = predictions(spark).union(predictions(spark))
     with pytest.raises(ValueError, match="duplicate key"):
