@@ -12,7 +12,10 @@ Exact, in four steps; the sets themselves travel only for documents in question.
 3. *Signature trees.* Keys whose sets are still in several components are searched for the
    remaining pairs: sets are leaves of a tree whose nodes hold the OR of token bitmaps and
    the range of sizes. A dual traversal drops node pairs whose maximum possible overlap
-   cannot reach 80 %, or whose pairs are linked already; what is left is compared exactly.
+   cannot reach 80 %, or whose pairs are linked already; wider bitmaps of the single sets
+   drop most others. A first search takes no more pairs of a key than join all that may be
+   alike; a second takes all that are still in different components then, so that nothing is
+   lost where a pair of the first is refuted. Both compare what is left exactly.
    Keys of more than ``KEY_ROWS`` sets are dealt as pairs of blocks over many tasks.
 4. *Components* of all links, by alternating large and small stars.
 
@@ -40,7 +43,8 @@ from shelfline.llm.common import saved, text_bytes, with_scanned
 
 SHINGLE = 5
 PERCENT = 80
-BITS = 1_024
+#: Bits of a set in the nodes of the tree, and of the widest bitmap kept of a set.
+BITS, MOST_BITS = 1_024, 16_384
 CACHE = 400_000
 #: Sets at one key that one task searches; more are split into pairs of blocks.
 KEY_ROWS = 4_096
@@ -109,26 +113,25 @@ def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(hashes % np.uint64(BITS)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.uint64)
-
-
 def wide_bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Four bits or more a hash: 16 times smaller than the set, and it folds to fewer bits."""
-    size = max(64, 1 << (4 * len(hashes) - 1).bit_length())
+    """Four bits or more a hash, within ``BITS`` and ``MOST_BITS``; it folds to fewer bits."""
+    size = min(MOST_BITS, max(BITS, 1 << (4 * len(hashes) - 1).bit_length()))
     bits = np.zeros(size, np.uint8)
     bits[(hashes % np.uint64(size)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (the last axis) of the same hashes in ``words`` words of 64 bits."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
 def may_be_alike(n: int, a: np.ndarray, m: int, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether the bits common to two bitmaps, with the smaller excess, allow it."""
-    while len(a) > len(b):
-        a = a[: len(a) // 2] | a[len(a) // 2 :]
-    while len(b) > len(a):
-        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    a, b = folded(a, len(b)), folded(b, len(a))
     excess = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
     overlap = min(int(np.bitwise_count(a & b).sum()) + excess, n, m)
     return (100 + percent) * overlap >= percent * (n + m)
@@ -193,6 +196,44 @@ class SignatureTree:
                 stack.append((level - 1, x2[inside], y2[inside]))
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    return folded(wide_bitmap(hashes), BITS // 64)
+
+
+class WideBitmaps:
+    """Bitmaps of different widths, to test many pairs of sets at the lesser width of each pair."""
+
+    def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray]):
+        self.sizes, self.bitmaps = sizes, bitmaps
+        self.words = np.array([len(b) for b in bitmaps])
+        self.kept: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def _at(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place, bitmap and excess of each set of at least ``words`` words."""
+        if words not in self.kept:
+            some = np.flatnonzero(self.words >= words)
+            bits = np.stack([folded(self.bitmaps[k], words) for k in some])
+            place = np.full(len(self.words), -1)
+            place[some] = np.arange(len(some))
+            excess = self.sizes[some] - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+            self.kept[words] = place, bits, excess
+        return self.kept[words]
+
+    def shares(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The most that the overlap of each pair can be, by the sum of both sizes."""
+        out = np.zeros(len(i))
+        words = np.minimum(self.words[i], self.words[j])
+        for width in np.unique(words):
+            place, bits, excess = self._at(int(width))
+            some = words == width
+            a, b = place[i[some]], place[j[some]]
+            common = np.bitwise_count(bits[a] & bits[b]).sum(axis=1).astype(np.int64)
+            n, m = self.sizes[i[some]], self.sizes[j[some]]
+            most = np.minimum(common + np.minimum(excess[a], excess[b]), np.minimum(n, m))
+            out[some] = most / (n + m)
+        return out
+
+
 def text_id(raw: bytes) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(raw), "little", signed=True)
 
@@ -208,7 +249,7 @@ def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT) ->
             found = shingle(raw)
             if not len(found):
                 return 0, None, None, None, None
-            return len(found), set_id(found), bitmap(found).tobytes(), text_id(raw), prefix(found, percent).view(np.int64)
+            return len(found), set_id(found), wide_bitmap(found).tobytes(), text_id(raw), prefix(found, percent).view(np.int64)
 
         def step(texts: pa.Array) -> list[pa.Array]:
             rows = [described(t) for t in text_bytes(texts)]
@@ -219,8 +260,8 @@ def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT) ->
     return with_scanned(docs, text, SET_FIELDS, start)
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, the bytes of ``packed(hashes)``.
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One row for each wanted set: ``set_id``, ``n`` and ``payload``, the bytes of its hashes.
 
     ``wanted`` names one text of each set, so that no other text is cut into shingles.
     """
@@ -244,7 +285,7 @@ def _sets(texts: DataFrame, wanted: DataFrame, packed: Callable[[np.ndarray], np
                 found = shingle(raw)
                 if not len(found):
                     continue
-                rows.append((set_id(found), len(found), packed(found).tobytes()))
+                rows.append((set_id(found), len(found), found.tobytes()))
                 held += len(found)
                 if held > 1 << 20:
                     yield _batch(rows)
@@ -333,16 +374,12 @@ def _distinct_keys(members: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are alike, compared by wide bitmaps and then exactly: ``a``, ``b``."""
-
-    def near(n: int, raw: bytes, m: int, other: bytes) -> bool:
-        return may_be_alike(n, np.frombuffer(raw, np.uint64), m, np.frombuffer(other, np.uint64), percent)
+    """The pairs whose sets are alike: ``a``, ``b``."""
 
     def same(n: int, raw: bytes, m: int, other: bytes) -> bool:
         return alike(np.frombuffer(raw, np.uint64), np.frombuffer(other, np.uint64), percent)
 
-    left = saved(_compared(pairs, _sets(texts, _wanted(pairs, signs), wide_bitmap), near), "jaccard_pairs")
-    return _compared(left, _sets(texts, _wanted(left, signs), lambda hashes: hashes), same).toDF("a", "b")
+    return _compared(pairs, _sets(texts, _wanted(pairs, signs)), same).toDF("a", "b")
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -368,8 +405,11 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components at a key that a signature tree cannot rule out."""
+def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs of different components at a key that bitmaps cannot rule out.
+
+    With ``spanning`` only as many of them as join what all of them would join.
+    """
     placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "key", "set_id", "centre", F.coalesce("root", "set_id").alias("root")
     )
@@ -405,8 +445,10 @@ def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int)
         block = np.array([r[7] for r in group])
         if (root == root[0]).all():
             return set()
-        bits = np.stack([np.frombuffer(r[8], np.uint64) for r in group])
-        tree = SignatureTree(np.array([r[3] for r in group], np.int64), bits)
+        sizes = np.array([r[3] for r in group], np.int64)
+        wide = WideBitmaps(sizes, [np.frombuffer(r[8], np.uint64) for r in group])
+        tree = SignatureTree(sizes, np.stack([folded(b, BITS // 64) for b in wide.bitmaps]))
+        root = np.unique(root, return_inverse=True)[1]
         centre, crossed = group[0][6], group[0][1] != group[0][2]
         out: set[tuple[int, int]] = set()
         for i, j in tree.pairs(percent):
@@ -414,7 +456,18 @@ def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int)
             some = (root[i] != root[j]) & (ids[i] != centre) & (ids[j] != centre)
             if crossed:
                 some &= block[i] != block[j]
-            low, high = np.minimum(ids[i], ids[j])[some], np.maximum(ids[i], ids[j])[some]
+            i, j = i[some], j[some]
+            share = wide.shares(i, j)
+            # alike: 100 I >= p (A + B - I); the share is rounded, so a little less will do
+            near = (100 + percent) * share >= percent - 1e-6
+            i, j, share = i[near], j[near], share[near]
+            while spanning and len(i):
+                at = np.argmax(share)
+                out.add((min(ids[i[at]], ids[j[at]]), max(ids[i[at]], ids[j[at]])))
+                root[root == root[j[at]]] = root[i[at]]
+                left = root[i] != root[j]
+                i, j, share = i[left], j[left], share[left]
+            low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
             out.update(zip(low.tolist(), high.tolist(), strict=True))
         return out
 
@@ -464,9 +517,13 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     star = saved(members.where("set_id != centre").select("centre", "set_id").distinct(), "jaccard_star")
     links = saved(_links(saved(_plausible(star, signs, percent), "jaccard_pairs"), texts, signs, percent), "jaccard_links")
     roots = saved(components(links), "jaccard_roots")
-    rest = saved(_rest(members, roots, signs, percent), "jaccard_rest")
-    more = links.limit(0) if rest.isEmpty() else saved(_links(rest, texts, signs, percent), "jaccard_links")
-    roots = components(links.unionByName(more)).withColumnRenamed("node", "set_id")
+    for spanning in (True, False):
+        rest = saved(_rest(members, roots, signs, percent, spanning), "jaccard_rest")
+        if rest.isEmpty():
+            break
+        links = links.unionByName(saved(_links(rest, texts, signs, percent), "jaccard_links"))
+        roots = saved(components(links), "jaccard_roots")
+    roots = roots.withColumnRenamed("node", "set_id")
     first = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only sets with copies or links need a look-up; all other documents stand alone.
     rooted = first.join(roots, "set_id", "left").where("n > 1 OR root IS NOT NULL")
