@@ -13,42 +13,67 @@ from pyspark.sql import functions as F
 from shelfline.schemas import FEATURE_COLUMNS, SERIES
 from shelfline.session import ensure_checkpoint_dir, new_dir
 
-# Squared loss, shrinkage 0.05, at most 500 rounds; depth 5 gives the
-# 32 leaves closest to a 31-leaf tree. Tolerance 0 stops at the first round that
-# does not improve the holdout loss.
+# Squared loss, shrinkage 0.05, at most 500 rounds, of which the last
+# 20 without a smaller absolute error on the holdout end the search; depth 5 gives
+# the 32 leaves closest to a 31-leaf tree.
 GBT_DEFAULTS: dict[str, Any] = {
     "lossType": "squared",
     "stepSize": 0.05,
     "maxIter": 500,
     "maxDepth": 5,
-    "validationTol": 0.0,
     "seed": 7,
 }
+PATIENCE = 20
+# Rounds of the first fit; each further fit has twice as many, until the rule ends it.
+FIRST_ROUNDS = 2 * PATIENCE
 
 
 def _assembled(split: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(split)
 
 
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """Number of rounds to keep, and whether ``patience`` rounds without a gain follow them."""
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def fit_pooled(
     split: DataFrame,
     features: Sequence[str] = FEATURE_COLUMNS,
     params: Mapping[str, Any] | None = None,
+    patience: int = PATIENCE,
 ) -> GBTRegressionModel:
-    """Fit on all training rows; holdout rows stop the boosting early.
+    """Fit on all training rows; the holdout's mean absolute error chooses the round.
 
-    ``params`` override :data:`GBT_DEFAULTS`.
+    ``params`` override :data:`GBT_DEFAULTS`. Every round is scored. Where the rule
+    has not ended the search, the model is grown anew with twice the rounds: the
+    seed is fixed, so a longer model begins with the trees of a shorter one. Spark
+    does not shrink the first tree.
     """
     ensure_checkpoint_dir(split.sparkSession)
     rows = _assembled(split.dropna(subset=["sales"]), features).select(
         "features", F.col("sales").cast("double").alias("label"), "is_val"
     )
-    learner = GBTRegressor(
-        validationIndicatorCol="is_val",
-        checkpointInterval=10,
-        **{**GBT_DEFAULTS, **(params or {})},
-    )
-    return learner.fit(rows)
+    train, held = rows.where("NOT is_val"), rows.where("is_val")
+    settings = {**GBT_DEFAULTS, **(params or {})}
+    most = settings.pop("maxIter")
+
+    def grown(rounds: int) -> GBTRegressionModel:
+        return GBTRegressor(maxIter=rounds, checkpointInterval=10, **settings).fit(train)
+
+    rounds = min(FIRST_ROUNDS, most)
+    while True:
+        model = grown(rounds)
+        best, ended = best_round(model.evaluateEachIteration(held, "absolute"), patience)
+        if ended or rounds == most:
+            return model if best == rounds else grown(best)
+        rounds = min(2 * rounds, most)
 
 
 def score_pooled(

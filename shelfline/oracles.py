@@ -169,6 +169,12 @@ series AS (
          max(weight) AS weight, max(n_train) AS n_train, count(*) AS n_val
   FROM backtest GROUP BY store_id, item_id)"""
 
+_SCORED_DAYS = f"""{_TO_SPLIT}
+    SELECT store_id, item_id, day_num, cal_date, CAST(sales AS DOUBLE) AS sales, n_rows - 28 AS n_train,
+           round(avg(sales) FILTER (WHERE NOT is_val) OVER (PARTITION BY store_id, item_id), 6) AS weight,
+           true AS scored
+    FROM split QUALIFY is_val"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -176,7 +182,7 @@ def all_oracles() -> dict[str, str]:
         "filter_store": f"""{_TO_DEMAND}
             SELECT item_id, store_id, cal_date, sales, day_num FROM demand WHERE store_id = 'ASIA'""",
         "wide_to_long": f"{_TO_FACT} SELECT {_IDS}, d, sales FROM fact",
-        "day_number": f"{_TO_CALENDAR} SELECT d, day_num FROM calendar",
+        "day_number": f"{_TO_FACT} SELECT id, d, day_num FROM fact",
         "join_calendar": f"""{_with(_SPAN, _DEMAND, _CALENDAR)}
             SELECT x.store_id, x.item_id, c.d, x.sales, c.cal_date, c.wday, c.month, c.year,
                    c.event_name_1, c.event_type_1
@@ -219,9 +225,9 @@ def all_oracles() -> dict[str, str]:
             FROM demand
             WINDOW w7 AS (PARTITION BY store_id, item_id ORDER BY day_num ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
               w28 AS (PARTITION BY store_id, item_id ORDER BY day_num ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)""",
-        "calendar_flags": f"""{_TO_CALENDAR}
-            SELECT d, wday, event_name_1, CASE WHEN wday IN (1, 2) THEN 1 ELSE 0 END AS is_weekend,
-                   CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS has_event FROM calendar""",
+        "calendar_flags": f"""{_TO_FACT}
+            SELECT id, d, wday, event_name_1, CASE WHEN wday IN (1, 2) THEN 1 ELSE 0 END AS is_weekend,
+                   CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS has_event FROM fact""",
         "build_features": f"""{_TO_FEATURES}
             SELECT store_id, item_id, sales, {_REAL_FEATURE_LIST} FROM features""",
         "train_val_split": f"""{_TO_SPLIT}
@@ -235,6 +241,8 @@ def all_oracles() -> dict[str, str]:
             FROM split GROUP BY store_id, item_id""",
         "holdout_rows": f"""{_TO_SPLIT}
             SELECT store_id, item_id, cal_date, sales, {_FEATURE_LIST} FROM split WHERE is_val""",
+        "per_series_backtest_days": _SCORED_DAYS,
+        "gbt_backtest_days": _SCORED_DAYS,
         "tail_days": f"""{_TO_FACT}
             SELECT store_id, item_id, day_num, cal_date, sales FROM fact
             QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY day_num DESC) <= 180""",
@@ -269,13 +277,24 @@ def all_oracles() -> dict[str, str]:
             FROM forecasts WHERE item_id = 'ECONOMY_17' AND store_id = 'ASIA'
             ORDER BY forecast_date, model_version""",
         "forecast_latest_per_date": f"""{_TO_STORE}
+            , copies AS (
+              SELECT *, 1 AS copy FROM forecasts WHERE model_version = 'v1.0'
+              UNION ALL
+              SELECT item_id, store_id, forecast_date, predicted_sales, 'v1.0', 2
+              FROM forecasts WHERE model_version = 'v2.0')
             SELECT item_id, store_id, strftime(forecast_date, '%Y-%m-%d') AS date,
-                   round(predicted_sales, 6) AS predicted_sales, 'v1.0' AS model_version
-            FROM forecasts WHERE model_version = 'v2.0'""",
+                   round(predicted_sales, 6) AS predicted_sales, model_version
+            FROM copies WHERE model_version = (SELECT model_version FROM active)
+            QUALIFY row_number() OVER (PARTITION BY item_id, store_id, forecast_date ORDER BY copy DESC) = 1""",
         "history_latest_per_date": f"""{_TO_STORE}
-            SELECT item_id, store_id, strftime(sale_date, '%Y-%m-%d') AS date,
-                   actual_sales + 1 AS actual_sales
-            FROM history WHERE model_version = 'v2.0'""",
+            , copies AS (
+              SELECT *, 1 AS copy FROM history WHERE model_version = 'v1.0'
+              UNION ALL
+              SELECT item_id, store_id, sale_date, actual_sales + 1, 'v1.0', 2
+              FROM history WHERE model_version = 'v2.0')
+            SELECT item_id, store_id, strftime(sale_date, '%Y-%m-%d') AS date, actual_sales
+            FROM copies WHERE model_version = (SELECT model_version FROM active)
+            QUALIFY row_number() OVER (PARTITION BY item_id, store_id, sale_date ORDER BY copy DESC) = 1""",
         "forecast_summary": f"""{_TO_STORE}
             SELECT item_id, store_id, count(*) AS forecast_days,
                    round(avg(predicted_sales), 6) AS avg_predicted_sales,

@@ -8,11 +8,16 @@ prediction store between its jobs. Every table is built on first use.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.models.per_series import backtest_per_series
+from shelfline.models.pooled import backtest_pooled
+from shelfline.operators.features import build_features
+from shelfline.operators.split import holdout_split
 from shelfline.plans.backtest import Baseline, Checkpoint, checkpoint_backtest, publish
 from shelfline.session import new_dir
 from shelfline.sources.files import write_series_table
@@ -85,6 +90,21 @@ class DemandDataset:
             for v in FORECASTERS
         }
 
+    def _model_rows(self, name: str, backtest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        path = new_dir(self.spark, name)
+        backtest(holdout_split(build_features(self.fact))).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def per_series_rows(self) -> DataFrame:
+        """Backtest of one model per series, fitted once."""
+        return self._model_rows("per-series", backtest_per_series)
+
+    @cached_property
+    def pooled_rows(self) -> DataFrame:
+        """Backtest of the pooled model, fitted once."""
+        return self._model_rows("pooled", backtest_pooled)
+
     def publish(self, store: ForecastStore, version: str) -> tuple[int, int]:
         return publish(
             self.spark,

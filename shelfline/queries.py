@@ -11,8 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.models.per_series import backtest_per_series
-from shelfline.models.pooled import backtest_pooled
 from shelfline.operators import features, forecast, metrics, quality, reshape, serving, split
 from shelfline.plans.backtest import (
     checkpoint_backtest,
@@ -92,7 +90,8 @@ def wide_to_long(d: DemandDataset) -> DataFrame:
 
 @_register
 def day_number(d: DemandDataset) -> DataFrame:
-    return reshape.add_day_number(read_calendar(d.spark, d.calendar_path)).select("d", "day_num")
+    long = reshape.wide_to_long(read_sales_wide(d.spark, d.raw_path))
+    return reshape.add_day_number(long).select("id", "d", "day_num")
 
 
 @_register
@@ -166,8 +165,8 @@ def rolling_features(d: DemandDataset) -> DataFrame:
 
 @_register
 def calendar_flags(d: DemandDataset) -> DataFrame:
-    flagged = features.add_calendar_features(read_calendar(d.spark, d.calendar_path))
-    return flagged.select("d", "wday", "event_name_1", "is_weekend", "has_event")
+    flagged = features.add_calendar_features(d.fact)
+    return flagged.select("id", "d", "wday", "event_name_1", "is_weekend", "has_event")
 
 
 @_register
@@ -462,13 +461,28 @@ def checkpoint_roundtrip(d: DemandDataset) -> DataFrame:
 # -- learned models ----------------------------------------------------------------------
 
 
+def _scored_days(rows: DataFrame) -> DataFrame:
+    """What follows from the split alone: days, actuals, counts, weights."""
+    scored = F.col("predicted").isNotNull().alias("scored")
+    weight = F.round("train_mean", 6).alias("weight")
+    return rows.select(*SERIES, "day_num", "cal_date", "sales", "n_train", weight, scored)
+
+
 @_register
 def per_series_backtest(d: DemandDataset) -> DataFrame:
-    rows = backtest_per_series(_split(d))
-    return _rounded(metrics.series_metrics(rows), "mae", "rmse", "weight")
+    return _rounded(metrics.series_metrics(d.per_series_rows), "mae", "rmse", "weight")
+
+
+@_register
+def per_series_backtest_days(d: DemandDataset) -> DataFrame:
+    return _scored_days(d.per_series_rows)
 
 
 @_register
 def gbt_backtest(d: DemandDataset) -> DataFrame:
-    rows = backtest_pooled(_split(d), params={"maxIter": 10, "stepSize": 0.3})
-    return _rounded(metrics.series_metrics(rows), "mae", "rmse", "weight")
+    return _rounded(metrics.series_metrics(d.pooled_rows), "mae", "rmse", "weight")
+
+
+@_register
+def gbt_backtest_days(d: DemandDataset) -> DataFrame:
+    return _scored_days(d.pooled_rows)

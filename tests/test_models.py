@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 
 from frames import random_series, to_spark
 from shelfline.models.per_series import backtest_per_series, least_squares
-from shelfline.models.pooled import backtest_pooled
+from shelfline.models.pooled import backtest_pooled, best_round, fit_pooled, score_pooled
 from shelfline.operators.features import build_features
 from shelfline.operators.metrics import series_metrics
 from shelfline.operators.split import holdout_split
@@ -79,6 +79,33 @@ def test_unknown_labels_are_left_out(spark):
     assert len(out) == 27 and out["predicted"].notna().all()
 
 
+def test_stop_rule():
+    falling = [1.0 / (i + 1) for i in range(30)]
+    assert best_round(falling, 20) == (30, False)
+    assert best_round([3.0, 1.0, *[2.0] * 20], 20) == (2, True)
+    assert best_round([3.0, 1.0, *[2.0] * 19], 20) == (2, False)
+    assert best_round([3.0, 1.0, *[2.0] * 19, 0.5], 20) == (22, False)
+    assert best_round([1.0, *[1.0] * 20], 20) == (1, True)  # an equal error is no gain
+
+
+def test_rounds_are_chosen_by_absolute_error(split):
+    """The kept model is the one of the round with the least error among those tried."""
+    model = fit_pooled(split, params={"maxIter": 12, "maxDepth": 2, "stepSize": 0.3}, patience=3)
+    held = split.where("is_val").dropna(subset=["sales"])
+
+    def error(rounds):
+        other = fit_pooled(split, params={"maxIter": rounds, "maxDepth": 2, "stepSize": 0.3}, patience=99)
+        rows = score_pooled(other, held).toPandas()
+        return other.getNumTrees, (rows["sales"] - rows["predicted"]).abs().mean()
+
+    rows = score_pooled(model, held).toPandas()
+    kept = (rows["sales"] - rows["predicted"]).abs().mean()
+    assert 1 <= model.getNumTrees <= 12
+    assert kept <= error(1)[1] + 1e-9
+    trees, same = error(model.getNumTrees)
+    assert trees == model.getNumTrees and same == pytest.approx(kept)
+
+
 def test_pooled_trees(split):
     params = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.3}
     first = backtest_pooled(split, params=params).toPandas()
