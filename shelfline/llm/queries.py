@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, chat, decontaminate, jaccard, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
+from shelfline.llm import ann, chat, decontaminate, jaccard, merkle, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -67,6 +67,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_zip,
         op9_toxicity,
         op10_jaccard_join,
+        op13_merkle_manifest,
     )
 }
 
