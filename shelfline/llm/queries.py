@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, chat, decontaminate, jaccard, merkle, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip, whitening
+from shelfline.llm import ann, chat, decontaminate, jaccard, lbl, merkle, personal, secrets, sentencepiece_fst, token_counts, toxicity, warc_zip, whitening
 from shelfline.llm.common import table
 from shelfline.llm.oracles import ORACLES
 
@@ -67,6 +67,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.report(table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_zip,
         op9_toxicity,
         op10_jaccard_join,
+        op11_language_model,
         op12_whitening,
         op13_merkle_manifest,
     )
