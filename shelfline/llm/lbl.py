@@ -52,6 +52,8 @@ ROUNDS, STEP, NOISE = 4, 8_192, 24
 RATE = 0.3
 #: Words handled at once, distinct words counted at once, parts of the summed parameters.
 PIECE, COUNTED, BLOCKS = 1 << 17, 400_000, 16
+#: Words scored by one matrix product.
+SCORED = 1 << 14
 END = b""
 NEVER = -1e9
 
@@ -125,9 +127,22 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(TIER).toArrow()
-    return Vocabulary(sums["n"], sums["v"], top["word"].to_pylist(), np.array(top["c"].to_pylist(), np.int64))
+    """Totals, and all words from the least count on of which at most ``TIER`` words have so many.
+
+    Counts are told apart by eighths of their logarithm to base 2, so that the search for that
+    count sees a few hundred rows, and no task sorts the vocabulary.
+    """
+    size = F.floor(F.log2("c") * 8 + 1e-9)
+    steps = counts.groupBy(size.alias("size")).agg(F.sum("c").alias("c"), F.count("*").alias("words")).collect()
+    held, least = 0, math.inf
+    for step in sorted(steps, key=lambda r: -r["size"]):
+        held += step["words"]
+        if held > TIER:
+            break
+        least = step["size"]
+    top = [(r["word"], r["c"]) for r in counts.where(size >= least).toArrow().to_pylist()] if steps else []
+    top.sort(key=lambda r: (-r[1], r[0]))
+    return Vocabulary(sum(r["c"] for r in steps), sum(r["words"] for r in steps), [w for w, _ in top], np.array([c for _, c in top], np.int64))
 
 
 ENCODED = T.StructType(
@@ -217,6 +232,7 @@ class Model:
     class_bias: np.ndarray
     words: np.ndarray
     word_bias: np.ndarray
+    #: Of contexts, positions, classes, class biases, words, word biases.
     seen: list[np.ndarray]
 
     @classmethod
@@ -227,6 +243,7 @@ class Model:
         held = held.reshape(slots, CLASSES).T
         mass = np.append(held.sum(axis=1), known.rest[0] + 1.0)
         with np.errstate(divide="ignore", invalid="ignore"):
+            # Padding and classes without words have no share.
             p_class, p_word = mass / mass.sum(), np.where(held > 0, held / held.sum(axis=1, keepdims=True), 0.0)
             log = lambda p: np.where(p > 0, np.log(p), NEVER).astype(np.float32)
             bias, word_bias = log(p_class), log(p_word)
@@ -252,86 +269,118 @@ class Model:
 
     def prediction(self, before: np.ndarray) -> np.ndarray:
         """Predicted vectors from the numbers of the words before (one row each, nearest first)."""
-        out = self.context[before[:, 0]] * self.position[0]
+        out = self.context.take(before[:, 0], axis=0)
+        out *= self.position[0]
         for i in range(1, CONTEXT):
-            out += self.context[before[:, i]] * self.position[i]
+            part = self.context.take(before[:, i], axis=0)
+            part *= self.position[i]
+            out += part
         return out
 
+    def _by_class(self, ids: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """An order of the words class by class, and the stretch of each class (other words last)."""
+        group = np.where(ids < self.size, ids % CLASSES, CLASSES).astype(np.uint8)
+        order = np.argsort(group, kind="stable")
+        cuts = np.cumsum([0, *np.bincount(group, minlength=CLASSES + 1)]).tolist()
+        return order, list(zip(cuts, cuts[1:], strict=False))
+
     def log_probabilities(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural logs of the normalised probabilities; of ``size`` that of the class of other words."""
-        predicted = self.prediction(before)
-        group = np.where(ids < self.size, ids % CLASSES, CLASSES)
-        scores = predicted @ self.classes.T + self.class_bias
-        out = scores[np.arange(len(ids)), group].astype(float) - _log_sum(scores)
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = order[cuts[k] : cuts[k + 1]]
-            if len(rows):
-                scores = predicted[rows] @ self.words[k].T + self.word_bias[k]
-                out[rows] += scores[np.arange(len(rows)), ids[rows] // CLASSES] - _log_sum(scores)
+        out = np.empty(len(ids))
+        for start in range(0, len(ids), SCORED):
+            part = slice(start, start + SCORED)
+            order, stretches = self._by_class(ids[part])
+            predicted, slot = self.prediction(before[part][order]), ids[part][order] // CLASSES
+            scores = predicted @ self.classes.T + self.class_bias
+            logs = -_log_sum(scores)
+            for k, (a, b) in enumerate(stretches):
+                if a == b:
+                    continue
+                logs[a:b] += scores[a:b, k]
+                if k < CLASSES:
+                    each = predicted[a:b] @ self.words[k].T + self.word_bias[k]
+                    logs[a:b] += each[np.arange(b - a), slot[a:b]] - _log_sum(each)
+            out[start + order] = logs
         return out
 
-    def _moved(self, which: int, array: np.ndarray, at: object, gradient: np.ndarray) -> None:
+    def _moved(self, which: int, array: np.ndarray, gradient: np.ndarray) -> None:
         """A step along ``gradient``, shorter the more its rows have moved before."""
-        squares = gradient * gradient
         seen = self.seen[which]
-        seen[at] += squares.mean(axis=-1) if squares.ndim > seen[at].ndim else squares
-        scale = RATE / np.sqrt(seen[at] + 1e-6)
-        array[at] += gradient * (scale[..., None] if gradient.ndim > scale.ndim else scale)
+        wide = gradient.ndim > seen.ndim
+        seen += np.einsum("...i,...i->...", gradient, gradient) / gradient.shape[-1] if wide else gradient * gradient
+        scale = RATE / np.sqrt(seen + 1e-6)
+        array += gradient * (scale[..., None] if wide else scale)
 
     def learn(self, before: np.ndarray, ids: np.ndarray, random: np.random.Generator) -> None:
         """One noise-contrastive step on words ``ids`` after ``before``."""
+        order, stretches = self._by_class(ids)
+        before, slot = before[order], ids[order] // CLASSES
         predicted = self.prediction(before)
-        group = np.where(ids < self.size, ids % CLASSES, CLASSES)
-        drawn = random.multinomial(NOISE, self.p_class)
-        gradient, back = _contrast(predicted, self.classes, self.class_bias, group, drawn, self.p_class)
-        self._moved(2, self.classes, slice(None), gradient.T @ predicted)
-        self._moved(3, self.class_bias, self.p_class > 0, gradient.sum(axis=0)[self.p_class > 0])
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = order[cuts[k] : cuts[k + 1]]
-            if not len(rows):
-                continue
-            slot, shares = ids[rows] // CLASSES, self.p_word[k]
-            drawn = random.multinomial(NOISE, shares)
-            # Only the words seen or drawn take part.
-            some = np.flatnonzero(drawn + np.bincount(slot, minlength=len(drawn)))
-            place = np.searchsorted(some, slot)
-            own = predicted[rows]
-            gradient, turned = _contrast(own, self.words[k][some], self.word_bias[k][some], place, drawn[some], shares[some])
-            back[rows] += turned
-            self._moved(4, self.words, (k, some), gradient.T @ own)
-            self._moved(5, self.word_bias, (k, some), gradient.sum(axis=0))
-        pulls = np.concatenate([back * self.position[i] for i in range(CONTEXT)])
-        turn = np.stack([(back * self.context[before[:, i]]).mean(axis=0) for i in range(CONTEXT)])
-        at = before.T.ravel()
-        order = np.argsort(at, kind="stable")
-        starts = np.flatnonzero(np.diff(at[order], prepend=-1))
-        self._moved(0, self.context, at[order][starts], np.add.reduceat(pulls[order], starts, axis=0))
-        self._moved(1, self.position, slice(None), 0.1 * turn)
+        with np.errstate(divide="ignore", over="ignore"):
+            class_less = np.log(NOISE * self.p_class)
+            word_less = np.log(NOISE * self.p_word).astype(np.float32)
+            # Classes drawn: every row against each of them, as often as it was drawn.
+            times = random.multinomial(NOISE, self.p_class)
+            drawn = np.flatnonzero(times)
+            apart = self.class_bias[drawn] - class_less[drawn].astype(np.float32)
+            push = _chance(predicted @ self.classes[drawn].T + apart) * -times[drawn].astype(np.float32)
+            back = push @ self.classes[drawn]
+            turn, lift = np.zeros_like(self.classes), np.zeros_like(self.class_bias)
+            turn[drawn], lift[drawn] = push.T @ predicted, push.sum(axis=0)
+            word_turn, word_lift = np.zeros_like(self.words), np.zeros_like(self.word_bias)
+            held = self.p_word.sum(axis=1) > 0
+            times = np.zeros(self.p_word.shape, np.float32)
+            if held.any():
+                times[held] = random.multinomial(NOISE, self.p_word[held])
+            for k, (a, b) in enumerate(stretches):
+                if a == b:
+                    continue
+                own = predicted[a:b]
+                pull = 1 - _chance(own @ self.classes[k] + (self.class_bias[k] - np.float32(class_less[k])))
+                back[a:b] += pull[:, None] * self.classes[k]
+                turn[k] += pull @ own
+                lift[k] += pull.sum()
+                if k == CLASSES:
+                    continue
+                chance = _chance(own @ self.words[k].T + np.maximum(self.word_bias[k] - word_less[k], NEVER / 2))
+                push = chance * -times[k]
+                rows, at = np.arange(b - a), slot[a:b]
+                push[rows, at] += 1 - chance[rows, at]
+                word_turn[k], word_lift[k] = push.T @ own, push.sum(axis=0)
+                back[a:b] += push @ self.words[k]
+        self._moved(2, self.classes, turn)
+        self._moved(3, self.class_bias, lift)
+        self._moved(4, self.words, word_turn)
+        self._moved(5, self.word_bias, word_lift)
+        turn, sway = np.zeros_like(self.context), np.empty_like(self.position)
+        for i in range(CONTEXT):
+            at = before[:, i].astype(np.uint16)
+            order = np.argsort(at, kind="stable")
+            at = at[order]
+            starts = np.flatnonzero(np.diff(at.astype(np.int32), prepend=-1))
+            sums, at = np.add.reduceat(back[order], starts, axis=0), at[starts]
+            sway[i] = np.einsum("ij,ij->j", sums, self.context[at]) * (0.1 / len(ids))
+            turn[at] += sums * self.position[i]
+        self._moved(0, self.context, turn)
+        self._moved(1, self.position, sway)
 
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
-    top = scores.max(axis=1)
-    return top + np.log(np.exp(scores - top[:, None]).sum(axis=1, dtype=float))
-
-
-def _contrast(predicted, vectors, bias, seen, drawn, shares) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients of the choice between what was seen and what was drawn.
-
-    Returns the pull of every row on every vector, and what the vectors pull back on each row.
-    """
-    scores = predicted @ vectors.T + bias
-    with np.errstate(divide="ignore"):
-        scores -= np.log(NOISE * shares).astype(np.float32)
-    choice = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
-    rows = np.arange(len(seen))
-    right = 1 - choice[rows, seen]
-    pull = -choice * drawn.astype(np.float32)
-    pull[rows, seen] += right
-    return pull, pull @ vectors
+    """Logs of the row sums of exponentials; one shift for all rows while that underflows in none."""
+    top = scores.max()
+    sums = np.exp(scores - top) @ np.ones(scores.shape[1], np.float32)
+    if sums.min() < 1e-30:
+        top = scores.max(axis=1)
+        sums = np.exp(scores - top[:, None]).sum(axis=1)
+    return (top + np.log(sums)).astype(float)
+
+
+def _chance(scores: np.ndarray) -> np.ndarray:
+    """The logistic function, in place."""
+    np.negative(scores, out=scores)
+    np.exp(scores, out=scores)
+    scores += 1
+    return np.reciprocal(scores, out=scores)
 
 
 def stream(ids: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
