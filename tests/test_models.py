@@ -6,10 +6,13 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark import cloudpickle
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.sql import functions as F
 
 from frames import random_series, to_spark
 from shelfline.models.per_series import backtest_per_series, least_squares
-from shelfline.models.pooled import backtest_pooled, best_round, fit_pooled, score_pooled
+from shelfline.models import pooled
+from shelfline.models.pooled import backtest_pooled, best_round, bin_edges, fit_pooled, score_pooled
 from shelfline.operators.features import build_features
 from shelfline.operators.metrics import series_metrics
 from shelfline.operators.split import holdout_split
@@ -88,22 +91,69 @@ def test_stop_rule():
     assert best_round([1.0, *[1.0] * 20], 20) == (1, True)  # an equal error is no gain
 
 
-def test_rounds_are_chosen_by_absolute_error(split):
-    """The kept model is the one of the round with the least error among those tried."""
-    model = fit_pooled(split, params={"maxIter": 12, "maxDepth": 2, "stepSize": 0.3}, patience=3)
-    held = split.where("is_val").dropna(subset=["sales"])
+def boosted_anew(split, model, rounds, **params):
+    """Spark's own boosting over all rows, on the same bins."""
+    rows = model.assembled(model.binned(split.dropna(subset=["sales"])))
+    rows = rows.withColumn("label", F.col("sales").cast("double"))
+    fitted = GBTRegressor(featuresCol="_bins", maxIter=rounds, seed=7, **params).fit(rows.where("NOT is_val"))
+    return fitted.transform(rows.where("is_val"))
 
-    def error(rounds):
-        other = fit_pooled(split, params={"maxIter": rounds, "maxDepth": 2, "stepSize": 0.3}, patience=99)
-        rows = score_pooled(other, held).toPandas()
-        return other.getNumTrees, (rows["sales"] - rows["predicted"]).abs().mean()
 
-    rows = score_pooled(model, held).toPandas()
+@pytest.mark.parametrize("rounds", [1, 2, 13])
+def test_staged_boosting_equals_a_full_refit(split, rounds):
+    """Grown tree by tree over grouped cases, across several written states."""
+    params = {"maxDepth": 3, "stepSize": 0.2}
+    model = fit_pooled(split, params={**params, "maxIter": rounds}, patience=99)
+    kept = model.num_trees
+    mine = model.score(split.where("is_val").dropna(subset=["sales"]))
+    keys = [*SERIES, "day_num"]
+    got = mine.select(*keys, "prediction").toPandas().sort_values(keys)["prediction"]
+    want = boosted_anew(split, model, kept, **params).select(*keys, "prediction").toPandas()
+    assert len(got) == 3 * 28
+    np.testing.assert_allclose(got, want.sort_values(keys)["prediction"], rtol=1e-9)
+
+
+def test_the_round_with_the_least_absolute_error_is_kept(split):
+    params = {"maxIter": 12, "maxDepth": 2, "stepSize": 0.3}
+    model = fit_pooled(split, params=params, patience=3)
+    rows = score_pooled(model, split).toPandas()
     kept = (rows["sales"] - rows["predicted"]).abs().mean()
-    assert 1 <= model.getNumTrees <= 12
-    assert kept <= error(1)[1] + 1e-9
-    trees, same = error(model.getNumTrees)
-    assert trees == model.getNumTrees and same == pytest.approx(kept)
+    assert kept == pytest.approx(min(model.errors)) == pytest.approx(model.errors[model.num_trees - 1])
+    assert len(model.errors) <= min(12, model.num_trees + 3)
+    longer = fit_pooled(split, params=params, patience=99)
+    np.testing.assert_allclose(longer.errors[: len(model.errors)], model.errors)
+
+
+def test_no_tree_is_grown_twice_or_past_the_stop(split, monkeypatch):
+    grown = []
+    fit = DecisionTreeRegressor.fit
+    monkeypatch.setattr(pooled.DecisionTreeRegressor, "fit", lambda self, rows: grown.append(1) or fit(self, rows))
+    model = fit_pooled(split, params={"maxIter": 200, "maxDepth": 2, "stepSize": 0.9}, patience=2)
+    assert len(grown) == len(model.errors) == model.num_trees + 2
+
+
+def test_equal_bins_are_one_case(split):
+    train = split.where("NOT is_val").dropna(subset=["sales"]).withColumn("label", F.col("sales").cast("double"))
+    features = ["wday", "is_weekend", "sales_lag_7"]
+    model = pooled.PooledModel(features, bin_edges(train, features), [], [])
+    made = pooled.cases(train, model).toPandas()
+    pdf = train.select(*features, "label").toPandas()
+    assert made["weight"].sum() == len(pdf) and len(made) < len(pdf)
+    assert (made["weight"] * made["label"]).sum() == pytest.approx(pdf["label"].sum())
+    assert pdf["wday"].nunique() == len(model.edges[0]) + 1  # few values: one bin each
+
+
+def test_bins_leave_room_for_rare_values(spark):
+    rows = spark.range(10_000).selectExpr("if(id % 50 = 0, id / 50.0, 0.0) AS x", "7 AS same", "id AS wide")
+    zero, same, wide = bin_edges(rows, ["x", "same", "wide"])
+    assert 25 <= len(zero) <= 31 and zero[0] > 0 and same == [] and 25 <= len(wide) <= 31
+
+
+def test_pooled_settings_are_checked(split):
+    with pytest.raises(ValueError, match="squared"):
+        fit_pooled(split, params={"lossType": "absolute"})
+    with pytest.raises(ValueError, match="maxIter"):
+        fit_pooled(split, params={"maxIter": 0})
 
 
 def test_pooled_trees(split):
