@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from shelfline.operators.reshape import FILE_ROWS, filter_by_store
-from shelfline.plans.backtest import Baseline, Forecaster, PerSeries, Pooled, run_backtest
+from shelfline.plans.backtest import Baseline, Forecaster, Moments, PerSeries, Pooled, run_backtest
 from shelfline.plans.etl import transform_sales_to_long
 from shelfline.schemas import DEFAULT_HORIZON
 from shelfline.session import new_dir
@@ -21,6 +21,7 @@ from shelfline.store import ForecastStore
 MODELS: dict[str, Forecaster] = {
     "baseline": Baseline(),
     "least-squares": PerSeries(),
+    "moments": Moments(),
     "pooled-trees": Pooled(),
 }
 ALL = "ALL"

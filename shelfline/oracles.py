@@ -176,6 +176,67 @@ _SCORED_DAYS = f"""{_TO_SPLIT}
     FROM split QUALIFY is_val"""
 
 
+
+
+def _linear_models() -> str:
+    """Ridge regression of every series by elimination on its standardised sums of products."""
+    k = len(FEATURE_COLUMNS)
+    origin = {"day_num": 1000, "year": 2000}
+    shifted = [f"(CAST({c} AS DOUBLE) - {origin.get(c, 0)})" for c in FEATURE_COLUMNS]
+    terms = ["CAST(1 AS DOUBLE)", *shifted, "CAST(sales AS DOUBLE)"]
+    sums = ", ".join(
+        f"sum({terms[i]} * {terms[j]}) AS m_{i}_{j}" for i in range(k + 2) for j in range(i, k + 2)
+    )
+    at = lambda i, j: f"m_{min(i, j)}_{max(i, j)}"
+    centred = lambda i, j: f"({at(i, j)} - m_0_{i} * m_0_{j} / m_0_0)"
+    numbers = range(1, k + 1)
+    moving = ", ".join(f"{centred(i, i)} > 1e-12 * {at(i, i)} AS v_{i}" for i in numbers)
+
+    def entry(i: int, j: int) -> str:
+        known = f"{centred(i, j)} / sqrt({centred(i, i)} * {centred(j, j)})"
+        if i == j:
+            return f"CASE WHEN v_{i} THEN 1.0001::DOUBLE ELSE 1 END"
+        return f"CASE WHEN v_{i} AND v_{j} THEN {known} ELSE 0 END"
+
+    def label(i: int) -> str:
+        return f"CASE WHEN v_{i} THEN {centred(i, k + 1)} / sqrt({centred(i, i)}) ELSE 0 END"
+
+    matrix = ", ".join("[" + ", ".join([*[entry(i, j) for j in numbers], label(i)]) + "]" for i in numbers)
+    scale = ", ".join(f"CASE WHEN v_{i} THEN sqrt({centred(i, i)}) ELSE 1 END" for i in numbers)
+    means = ", ".join(f"m_0_{i} / m_0_0" for i in numbers)
+    predicted = " + ".join(
+        f"a[{i}][{k + 1}] / scale[{i}] * ({shifted[i - 1]} - means[{i}])" for i in numbers
+    )
+    return f"""
+moments AS (
+  SELECT store_id, item_id, {sums} FROM split WHERE NOT is_val GROUP BY store_id, item_id),
+marked AS (SELECT *, {moving} FROM moments),
+elimination(store_id, item_id, level, means, scale, step, a) AS (
+  SELECT store_id, item_id, m_0_{k + 1} / m_0_0, [{means}], [{scale}], 1, [{matrix}] FROM marked
+  UNION ALL
+  SELECT store_id, item_id, level, means, scale, step + 1,
+         list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 2}), lambda j:
+           CASE WHEN i = step THEN a[step][j] / a[step][step]
+                ELSE a[i][j] - a[i][step] * a[step][j] / a[step][step] END))
+  FROM elimination WHERE step <= {k}),
+backtest AS (
+  SELECT s.store_id, s.item_id, day_num, cal_date, CAST(sales AS DOUBLE) AS sales, n_rows - 28 AS n_train,
+         train_mean AS weight, level + {predicted} AS predicted
+  FROM (SELECT *, avg(sales) FILTER (WHERE NOT is_val) OVER (PARTITION BY store_id, item_id) AS train_mean
+        FROM split) s
+  JOIN elimination e ON s.store_id = e.store_id AND s.item_id = e.item_id AND step = {k + 1}
+  WHERE is_val)"""
+
+
+_TO_LINEAR = _TO_SPLIT.replace("WITH ", "WITH RECURSIVE ", 1) + "," + _linear_models()
+_LINEAR_SERIES = f"""{_TO_LINEAR}, {_SERIES_SCORES}
+            SELECT store_id, item_id, round(mae, 3) AS mae, round(rmse, 3) AS rmse,
+                   round(weight, 6) AS weight, n_train, n_val FROM series"""
+_LINEAR_DAYS = f"""{_TO_LINEAR}
+            SELECT store_id, item_id, day_num, cal_date, sales, n_train, round(weight, 6) AS weight,
+                   true AS scored, round(predicted, 3) + 0.0::DOUBLE AS predicted FROM backtest"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "calendar_read": f"{_TO_CALENDAR} SELECT {_CALENDAR_LIST} FROM calendar",
@@ -241,7 +302,10 @@ def all_oracles() -> dict[str, str]:
             FROM split GROUP BY store_id, item_id""",
         "holdout_rows": f"""{_TO_SPLIT}
             SELECT store_id, item_id, cal_date, sales, {_FEATURE_LIST} FROM split WHERE is_val""",
-        "per_series_backtest_days": _SCORED_DAYS,
+        "per_series_backtest": _LINEAR_SERIES,
+        "per_series_backtest_days": _LINEAR_DAYS,
+        "moments_backtest": _LINEAR_SERIES,
+        "moments_backtest_days": _LINEAR_DAYS,
         "gbt_backtest_days": _SCORED_DAYS,
         "tail_days": f"""{_TO_FACT}
             SELECT store_id, item_id, day_num, cal_date, sales FROM fact

@@ -9,6 +9,7 @@ from typing import Any, NamedTuple, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfline.models.moments import backtest_moments
 from shelfline.models.per_series import Learner, backtest_per_series, least_squares
 from shelfline.models.pooled import backtest_pooled
 from shelfline.operators.features import build_features
@@ -60,6 +61,17 @@ class PerSeries:
         return series_metrics(backtest)
 
 
+@dataclass(frozen=True)
+class Moments:
+    """One linear model per series, from sums of products."""
+
+    def backtest(self, fact: DataFrame, horizon: int) -> DataFrame:
+        return backtest_moments(holdout_split(build_features(fact), horizon))
+
+    def scores(self, backtest: DataFrame, fact: DataFrame) -> DataFrame:
+        return series_metrics(backtest)
+
+
 @dataclass(frozen=True)
 class Pooled:
     """One boosted-tree model for all series."""

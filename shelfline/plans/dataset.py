@@ -13,8 +13,10 @@ from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.models.per_series import backtest_per_series
+from shelfline.models.moments import backtest_moments
+from shelfline.models.per_series import backtest_per_series, ridge
 from shelfline.models.pooled import backtest_pooled
 from shelfline.operators.features import build_features
 from shelfline.operators.split import holdout_split
@@ -92,13 +94,22 @@ class DemandDataset:
 
     def _model_rows(self, name: str, backtest: Callable[[DataFrame], DataFrame]) -> DataFrame:
         path = new_dir(self.spark, name)
-        backtest(holdout_split(build_features(self.fact))).write.parquet(path)
+        features = build_features(self.fact)
+        # As the features are handed to other engines: six decimals.
+        real = [c for c in features.columns if "rolling" in c]
+        features = features.withColumns({c: F.round(c, 6) for c in real})
+        backtest(holdout_split(features)).write.parquet(path)
         return self.spark.read.parquet(path)
 
     @cached_property
     def per_series_rows(self) -> DataFrame:
         """Backtest of one model per series, fitted once."""
-        return self._model_rows("per-series", backtest_per_series)
+        return self._model_rows("per-series", lambda split: backtest_per_series(split, ridge))
+
+    @cached_property
+    def moment_rows(self) -> DataFrame:
+        """Backtest of the same models, solved from sums of products."""
+        return self._model_rows("moments", backtest_moments)
 
     @cached_property
     def pooled_rows(self) -> DataFrame:

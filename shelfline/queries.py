@@ -468,14 +468,42 @@ def _scored_days(rows: DataFrame) -> DataFrame:
     return rows.select(*SERIES, "day_num", "cal_date", "sales", "n_train", weight, scored)
 
 
+def _to_thousandths(df: DataFrame, *columns: str) -> DataFrame:
+    """Results of solvers, which agree to about nine digits; adding 0 turns -0 into 0."""
+    return df.withColumns({c: F.round(c, 3) + F.lit(0.0) for c in columns})
+
+
+def _series_scores(rows: DataFrame) -> DataFrame:
+    return _rounded(_to_thousandths(metrics.series_metrics(rows), "mae", "rmse"), "weight")
+
+
+def _predicted_days(rows: DataFrame) -> DataFrame:
+    weight = F.round("train_mean", 6).alias("weight")
+    days = _to_thousandths(rows, "predicted")
+    scored = F.col("predicted").isNotNull().alias("scored")
+    return days.select(*SERIES, "day_num", "cal_date", "sales", "n_train", weight, scored, "predicted")
+
+
 @_register
 def per_series_backtest(d: DemandDataset) -> DataFrame:
-    return _rounded(metrics.series_metrics(d.per_series_rows), "mae", "rmse", "weight")
+    return _series_scores(d.per_series_rows)
 
 
 @_register
 def per_series_backtest_days(d: DemandDataset) -> DataFrame:
-    return _scored_days(d.per_series_rows)
+    """Every holdout day's prediction by the model of its series, fitted in its group."""
+    return _predicted_days(d.per_series_rows)
+
+
+@_register
+def moments_backtest(d: DemandDataset) -> DataFrame:
+    return _series_scores(d.moment_rows)
+
+
+@_register
+def moments_backtest_days(d: DemandDataset) -> DataFrame:
+    """The same predictions from sums of products."""
+    return _predicted_days(d.moment_rows)
 
 
 @_register
