@@ -431,7 +431,9 @@ def all_oracles() -> dict[str, str]:
         "append_run": f"""{_TO_STORE}
             SELECT run_id, model_version, horizon_days, num_items, store_id, parameters, is_active FROM runs
             UNION ALL
-            SELECT CAST(3 AS BIGINT), 'v3.0', CAST(28 AS INTEGER),
+            SELECT CAST(3 AS BIGINT),
+                   (SELECT 'v' || strftime(max(CAST(trained_at AS TIMESTAMP)) + INTERVAL 1 MONTH, '%Y-%m-%d') FROM runs),
+                   CAST(28 AS INTEGER),
                    (SELECT CAST(count(DISTINCT item_id) AS INTEGER) FROM active_forecasts), 'ALL',
                    '{{"maxDepth": 5}}', false""",
         "store_replace_version": f"""{_TO_STORE}

@@ -25,6 +25,7 @@ from shelfline.operators.split import holdout_split
 from shelfline.schemas import DEFAULT_HORIZON, FORECASTS, SALES_HISTORY, SERIES
 from shelfline.sources.files import read_metrics, write_metrics
 from shelfline.store import ForecastStore
+from shelfline.store.tables import run_row
 
 
 class Forecaster(Protocol):
@@ -147,17 +148,15 @@ def publish(
 ) -> tuple[int, int]:
     """Replace ``version`` in the store from its checkpoints; safe to repeat.
 
-    The old run disappears first and the new one is logged last, so a crash in
-    between never leaves an incomplete version active. Returns the forecast and
+    Forecasts, actuals and the run change together: whatever fails before the last
+    step leaves the old version, if there was one, as it was. Returns the forecast and
     history rows written.
     """
     predictions = read_forecast_checkpoint(spark, paths.forecasts)
     history = read_history_checkpoint(spark, paths.history)
     scores = read_metrics(spark, paths.metrics).first()
-    store.delete_model_version(version)
-    n_forecasts = store.write_forecasts(predictions, version)
-    n_history = store.write_sales_history(history, version)
-    store.log_model_run(
+    run = run_row(
+        spark,
         version,
         scores["mae"],
         scores["rmse"],
@@ -168,7 +167,7 @@ def publish(
         parameters,
         trained_at,
     )
-    return n_forecasts, n_history
+    return store.replace_version(version, predictions, history, run)
 
 
 def run_backtest(

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions import version_tag
 from shelfline.operators import features, forecast, metrics, quality, reshape, serving, split
 from shelfline.plans.backtest import (
     checkpoint_backtest,
@@ -413,10 +414,16 @@ def promote_version_(d: DemandDataset) -> DataFrame:
 
 @_register
 def append_run_(d: DemandDataset) -> DataFrame:
-    """The store's runs plus one logged from a summary of its latest forecasts."""
+    """The store's runs plus one logged from a summary of its latest forecasts.
+
+    The new run is a scheduled one: its version is named after the day it was triggered,
+    here a month after the newest run.
+    """
     runs = d.store.model_runs()
     items = serving.items_by_name(d.store.forecasts(), runs).select("item_id").distinct().count()
-    new = run_row(d.spark, "v3.0", None, None, None, 28, items, ALL_STORES, {"maxDepth": 5})
+    trigger = runs.agg(F.add_months(F.max("trained_at"), 1).cast("timestamp").alias("at"))
+    version = trigger.select(version_tag("at")).first()[0]
+    new = run_row(d.spark, version, None, None, None, 28, items, ALL_STORES, {"maxDepth": 5})
     return append_run(runs, new).drop("trained_at", "mae", "rmse", "weighted_mae")
 
 

@@ -2,13 +2,16 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from frames import random_series, to_spark
 from shelfline.operators import serving
 from shelfline.plans.backtest import (
     Baseline,
+    Moments,
     PerSeries,
+    Pooled,
     checkpoint_backtest,
     publish,
     read_forecast_checkpoint,
@@ -189,7 +192,7 @@ def fact(spark):
     return base.withColumns(extra)
 
 
-@pytest.mark.parametrize("forecaster", [Baseline(), PerSeries()])
+@pytest.mark.parametrize("forecaster", [Baseline(), PerSeries(), Moments(), Pooled({"maxIter": 2, "maxDepth": 3})])
 def test_whole_run_can_be_repeated(spark, fact, store, tmp_path, forecaster):
     args = dict(store_id="CA", parameters={"a": 1})
     first = run_backtest(spark, fact, store, forecaster, "v1.0", str(tmp_path / "cp"), **args)
@@ -219,3 +222,145 @@ def test_run_rejects_bad_facts(spark, fact, store, tmp_path):
         run_backtest(spark, fact.drop("sales"), store, Baseline(), "v1", str(tmp_path), "CA")
     with pytest.raises(ValueError, match="duplicate key"):
         run_backtest(spark, fact.union(fact), store, Baseline(), "v1", str(tmp_path), "CA")
+
+
+# -- one visible step ------------------------------------------------------------------
+
+
+class Crash(Exception):
+    pass
+
+
+def crashing(store, after):
+    """The store fails after so many steps of a change."""
+    left = [after]
+
+    def step(name):
+        if left[0] == 0:
+            raise Crash(name)
+        left[0] -= 1
+
+    store.step = step
+    return store
+
+
+def contents(store):
+    """All that readers see, without the times of writing."""
+    return tuple(
+        sorted(map(repr, t.drop("created_at", "trained_at").collect()))
+        for t in (store.forecasts(), store.sales_history(), store.model_runs())
+    )
+
+
+@pytest.mark.parametrize("after", range(4))
+def test_a_crash_after_any_step_leaves_old_or_new(spark, fact, tmp_path, after):
+    root = str(tmp_path / "store")
+    store = ForecastStore(spark, root)
+    old = checkpoint_backtest(spark, fact, Baseline(trend=False), "v1", str(tmp_path / "old"))
+    new = checkpoint_backtest(spark, fact, Baseline(), "v1", str(tmp_path / "new"))
+    publish(spark, store, "v1", old, "CA")
+    before = contents(store)
+    with pytest.raises(Crash) as at:
+        publish(spark, crashing(ForecastStore(spark, root), after), "v1", new, "CA")
+    seen = contents(ForecastStore(spark, root))
+    finished = str(at.value) == "wrote the snapshot"
+    assert (seen != before) == finished == (after == 3)
+    assert publish(spark, ForecastStore(spark, root), "v1", new, "CA") == (84, 84)
+    again = ForecastStore(spark, root)
+    assert contents(again) != before and again.forecasts().count() == 84
+    # What the failed attempt wrote is gone.
+    listed = {b.batch for n in again._snapshots() for b in again._live_in(n)}
+    on_disk = {p.name.removeprefix("batch=") for p in (tmp_path / "store").glob("*/model_version=*/batch=*")}
+    assert on_disk == listed
+
+
+@pytest.mark.parametrize("part", ["forecasts", "history"])
+def test_a_failing_job_leaves_the_old_version(spark, fact, store, tmp_path, part):
+    paths = checkpoint_backtest(spark, fact, Baseline(), "v1", str(tmp_path / "cp"))
+    publish(spark, store, "v1", paths, "CA")
+    before = contents(store)
+    broken = spark.read.parquet(getattr(paths, part))
+    key = "predicted_sales" if part == "forecasts" else "actual_sales"
+    broken.withColumn(key, F.nullif(key, F.max(key).over(Window.partitionBy()))).write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="NULL in required column"):
+        publish(spark, store, "v1", paths._replace(**{part: str(tmp_path / "bad")}), "CA")
+    assert contents(store) == before
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, store, tmp_path):
+    store.write_forecasts(predictions(spark), "v1.0")
+    before = contents(store)
+    number = store.newest()[0]
+    unfinished = tmp_path / "store" / "model_runs" / f"snapshot={number + 1}"
+    unfinished.mkdir()
+    (unfinished / "part-00000.parquet").write_bytes(b"half")
+    assert contents(ForecastStore(spark, store.root)) == before
+    store.promote("v1.0")
+    assert store.newest()[0] == number + 1
+
+
+def test_snapshots_and_batches_stay_bounded(spark, tmp_path):
+    store = ForecastStore(spark, str(tmp_path / "store"), retain=3)
+    store.write_forecasts(predictions(spark), "v1.0")
+    log(store, "v1.0")
+    log(store, "v2.0")
+    reader, runs = store.forecasts(), store.model_runs()
+    for k in range(2):
+        store.write_forecasts(predictions(spark, 10.0 + k), "v1.0")
+    assert reader.count() == 3 and {r.predicted_sales for r in reader.collect()} == {1.0, 2.0, 3.0}
+    assert runs.count() == 2  # both were opened two changes ago
+    for k in range(6):
+        store.promote(f"v{k % 2 + 1}.0")
+    folders = list((tmp_path / "store" / "model_runs").glob("snapshot=*"))
+    assert len(folders) == 3
+    assert len(list((tmp_path / "store").glob("forecasts/*/batch=*"))) == 1
+    assert store.forecasts().count() == 3 and store.model_runs().count() == 2
+    with pytest.raises(ValueError, match="retain"):
+        ForecastStore(spark, store.root, retain=0)
+
+
+# -- appends ---------------------------------------------------------------------------
+
+
+def days_of(spark, first, n=3, items=("F_0", "F_1")):
+    rows = [(i, "CA", first + dt.timedelta(days=k), 1.0) for i in items for k in range(n)]
+    return spark.createDataFrame(rows, "item_id string, store_id string, forecast_date date, predicted_sales double")
+
+
+def test_an_append_reads_only_overlapping_batches(spark, store, monkeypatch):
+    read = []
+    whole = ForecastStore.read_batches
+    monkeypatch.setattr(ForecastStore, "read_batches", lambda self, t, b: read.append([x.batch for x in b]) or whole(self, t, b))
+    for month in (1, 2, 3):
+        read.clear()
+        store.write_forecasts(days_of(spark, dt.date(2016, month, 1)), "v1", mode="append")
+        assert len(read) == 1  # its own keys; no stored batch overlaps
+    read.clear()
+    store.write_forecasts(days_of(spark, dt.date(2016, 2, 4)), "v1", mode="append")
+    assert len(read) == 1
+    with pytest.raises(ValueError, match="duplicate key"):
+        store.write_forecasts(days_of(spark, dt.date(2016, 2, 6)), "v1", mode="append")
+    assert [len(b) for b in read[-2:]] == [1, 1]
+    # Same days of another item: the extents of items do not meet.
+    store.write_forecasts(days_of(spark, dt.date(2016, 1, 1), items=("G_1",)), "v1", mode="append")
+    assert store.forecasts().count() == 27
+    assert store.forecasts().select("id").distinct().count() == 27
+
+
+def test_an_append_pushes_its_extent_to_the_files(spark, store, plan_of):
+    store.write_forecasts(days_of(spark, dt.date(2016, 1, 1), n=20), "v1")
+    change = store.change()
+    new = change.live[0]._replace(first_day=dt.date(2016, 1, 5), last_day=dt.date(2016, 1, 6))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5_000)
+    plan = plan_of(change.stored_keys(new, change.overlapping(new)))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(forecast_date,2016-01-05)" in plan and "LessThanOrEqual(forecast_date,2016-01-06)" in plan
+
+
+def test_stamps_lie_between_start_and_end(spark, store, fact, tmp_path):
+    now = lambda: spark.sql("SELECT current_timestamp()").first()[0]
+    start = now()
+    run_backtest(spark, fact, store, Baseline(), "v1", str(tmp_path / "cp"), "CA")
+    end = now()
+    assert all(start <= r.created_at <= end for r in store.forecasts().collect())
+    assert start <= store.model_runs().first().trained_at <= end
