@@ -10,12 +10,14 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from shelfline.operators.quality import CastLosses
 from shelfline.operators.reshape import FILE_ROWS, filter_by_store
 from shelfline.plans.backtest import Baseline, Forecaster, Moments, PerSeries, Pooled, run_backtest
-from shelfline.plans.etl import transform_sales_to_long
+from shelfline.plans.etl import bucket_count, transform_sales_to_long
 from shelfline.schemas import DEFAULT_HORIZON
 from shelfline.session import new_dir
-from shelfline.sources.files import daily_sales_path, read_daily_sales, write_parquet
+from shelfline.sources.curated import read_curated, write_curated
+from shelfline.sources.files import daily_sales_path
 from shelfline.store import ForecastStore
 
 MODELS: dict[str, Forecaster] = {
@@ -50,13 +52,17 @@ def main(argv: list[str] | None = None) -> None:
     one_store = None if args.store_id == ALL else args.store_id
     path = daily_sales_path(args.curated, args.store_id)
     if args.job == "etl":
+        losses = CastLosses()
+        buckets = bucket_count(spark, args.raw, one_store, args.file_rows)
         long = transform_sales_to_long(
-            spark, args.raw, one_store, calendar_path=args.raw, file_rows=args.file_rows
+            spark, args.raw, one_store, calendar_path=args.raw, buckets=buckets, losses=losses
         )
-        write_parquet(long, path, ["store_id"], rebalance=False)
+        write_curated(long, path, buckets)
         print(f"wrote {path}")
+        for source, column, raw, lost in losses.rows():
+            print(f"{source}.{column}: {lost} of {raw} values lost")
         return
-    fact = read_daily_sales(spark, path)
+    fact = read_curated(spark, path)
     if one_store is not None:
         fact = filter_by_store(fact, one_store)
     forecasts, history = run_backtest(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import day_number
+from shelfline.operators.quality import CastLosses
 from shelfline.schemas import CALENDAR_COLUMNS, DAY_PREFIX, ID_COLUMNS
 
 # Long rows of one output file of the curated fact.
@@ -13,8 +14,11 @@ FILE_ROWS = 2_000_000
 
 
 def whole_number(column: Column) -> Column:
-    """Text as an integer: decimals are cut off, other text becomes NULL."""
-    return column.try_cast("double").try_cast("int")
+    """Text as an integer: decimals are cut off, other text becomes NULL.
+
+    Plain integers, nearly all of the cells, are cast once.
+    """
+    return F.coalesce(column.try_cast("int"), column.try_cast("double").try_cast("int"))
 
 
 def day_columns(df: DataFrame) -> list[str]:
@@ -51,7 +55,7 @@ def cluster_by_store(wide: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
     return placed.repartition(tasks, F.col("store_id"), slot).select(*[F.col(_quoted(c)) for c in wide.columns])
 
 
-def wide_to_long(df: DataFrame) -> DataFrame:
+def wide_to_long(df: DataFrame, losses: CastLosses | None = None) -> DataFrame:
     """One output row per id row and day column; NULL cells are kept.
 
     A row's cells become one map from column name to value, which a single
@@ -67,11 +71,17 @@ def wide_to_long(df: DataFrame) -> DataFrame:
     long = df.select(
         *ID_COLUMNS, F.explode(F.map_from_arrays(names, cells)).alias("d", "sales")
     )
-    return long.withColumn("sales", whole_number(F.col("sales")))
+    if losses is None:
+        return long.withColumn("sales", whole_number(F.col("sales")))
+    both = long.withColumn("_raw", F.col("sales")).withColumn("sales", whole_number(F.col("sales")))
+    return losses.watch(both, "sales", {"sales": (F.col("_raw"), F.col("sales"))}).drop("_raw")
 
 
-def add_day_number(df: DataFrame) -> DataFrame:
-    return df.withColumn("day_num", day_number("d"))
+def add_day_number(df: DataFrame, losses: CastLosses | None = None) -> DataFrame:
+    out = df.withColumn("day_num", day_number("d"))
+    if losses is not None:
+        out = losses.watch(out, "sales", {"day_num": (F.col("d"), F.col("day_num"))})
+    return out
 
 
 def join_calendar(long: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -263,6 +263,19 @@ def all_oracles() -> dict[str, str]:
         "fact_columns": f"""{_TO_FACT}
             SELECT id, store_id, item_id, d, day_num, sales FROM fact ORDER BY id, day_num LIMIT 5""",
         "table_profile": f"{_TO_FACT} {_PROFILE}",
+        "cast_losses": f"""{_TO_FACT},
+            extra AS (SELECT count(DISTINCT (store_id, item_id)) AS n FROM fact),
+            sales AS (
+              SELECT count(*) AS days, count(*) FILTER (WHERE d = 'd_11' AND store_id = 'EUROPE') AS empty,
+                     count(*) FILTER (WHERE d = 'd_5' AND dept_id = 'ECONOMY')
+                     + count(*) FILTER (WHERE d = 'd_9' AND store_id = 'ASIA') AS bad FROM fact)
+            SELECT 'sales' AS source, 'sales' AS column_name, days - empty + n AS raw_values, bad AS lost_values
+            FROM sales, extra
+            UNION ALL SELECT 'sales', 'day_num', days + n, n FROM sales, extra
+            UNION ALL SELECT 'calendar', 'cal_date', count(*), count(*) FILTER (WHERE month = 2) FROM calendar
+            UNION ALL SELECT 'calendar', 'wday', count(*), count(*) FILTER (WHERE wday = 1) FROM calendar
+            UNION ALL SELECT 'calendar', 'month', count(*), 0 FROM calendar
+            UNION ALL SELECT 'calendar', 'year', count(*) FILTER (WHERE month != 3), 0 FROM calendar""",
         "unique_violations": """
             SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",

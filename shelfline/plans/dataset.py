@@ -22,7 +22,7 @@ from shelfline.operators.features import build_features
 from shelfline.operators.split import holdout_split
 from shelfline.plans.backtest import Baseline, Checkpoint, checkpoint_backtest, publish
 from shelfline.session import new_dir
-from shelfline.sources.files import write_series_table
+from shelfline.sources.files import CALENDAR_FILE, SALES_FILE, read_sales_wide, write_series_table
 from shelfline.sources.star import Star
 from shelfline.store import ForecastStore
 
@@ -66,6 +66,33 @@ class DemandDataset:
         self.star.write_calendar_file(path)
         return path
 
+    @cached_property
+    def damaged_path(self) -> str:
+        """Folder with both CSV files, some of whose cells do not parse, are empty or have decimals."""
+        path = new_dir(self.spark, "damaged")
+        sales = read_sales_wide(self.spark, self.raw_path)
+        of = lambda column, value: F.col(column) == value
+        sales = sales.withColumns(
+            {
+                "d_5": F.when(of("dept_id", "ECONOMY"), "n/a").otherwise(F.col("d_5")),
+                "d_9": F.when(of("store_id", "ASIA"), "12x").otherwise(F.col("d_9")),
+                "d_11": F.when(~of("store_id", "EUROPE"), F.col("d_11")),
+                "d_12": F.concat("d_12", F.lit(".0")),
+                "d_extra": F.lit("1"),
+            }
+        )
+        sales.write.option("header", True).csv(f"{path}/{SALES_FILE}")
+        days = self.spark.read.option("header", True).csv(f"{self.calendar_path}/{CALENDAR_FILE}")
+        days = days.withColumns(
+            {
+                "date": F.when(of("month", "2"), "soon").otherwise(F.col("date")),
+                "wday": F.when(of("wday", "1"), "Sat").otherwise(F.col("wday")),
+                "year": F.when(~of("month", "3"), F.col("year")),
+            }
+        )
+        days.write.option("header", True).csv(f"{path}/{CALENDAR_FILE}")
+        return path
+
     @cached_property
     def fact_table(self) -> str:
         name = f"daily_sales_{uuid.uuid4().hex[:12]}"

@@ -138,6 +138,17 @@ def table_profile(d: DemandDataset) -> DataFrame:
     return quality.table_profile(d.fact, columns, distinct=columns)
 
 
+@_register
+def cast_losses(d: DemandDataset) -> DataFrame:
+    """Values that the ETL's casts lose from files with damaged cells, counted as it writes."""
+    losses = quality.CastLosses()
+    long = transform_sales_to_long(
+        d.spark, d.damaged_path, calendar_path=d.damaged_path, file_rows=reshape.FILE_ROWS, losses=losses
+    )
+    write_parquet(long, new_dir(d.spark, "curated"), ["store_id"], rebalance=False)
+    return losses.report(d.spark)
+
+
 @_register
 def unique_violations(d: DemandDataset) -> DataFrame:
     lines = d.spark.read.parquet(f"{d.sf_dir}/lineitem.parquet")

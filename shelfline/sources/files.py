@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.quality import CastLosses
+from shelfline.operators.reshape import whole_number
 from shelfline.schemas import DAILY_SALES, METRICS
 
 # Input file names.
@@ -19,15 +21,19 @@ def read_sales_wide(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.option("header", True).csv(f"{raw_path}/{SALES_FILE}")
 
 
-def read_calendar(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Calendar columns in use, typed; values that do not parse become NULL."""
+def read_calendar(spark: SparkSession, raw_path: str, losses: CastLosses | None = None) -> DataFrame:
+    """Calendar columns in use, typed; values that do not parse become NULL.
+
+    ``losses`` counts those values.
+    """
     raw = spark.read.option("header", True).csv(f"{raw_path}/{CALENDAR_FILE}")
+    numbers = {c: whole_number(F.col(c)) for c in ("wday", "month", "year")}
+    typed = {"cal_date": F.col("date").try_cast("date"), **numbers}
+    if losses is not None:
+        raws = {"cal_date": "date"}
+        raw = losses.watch(raw, "calendar", {c: (F.col(raws.get(c, c)), t) for c, t in typed.items()})
     return raw.select(
-        "d",
-        F.col("date").try_cast("date").alias("cal_date"),
-        *[F.col(c).try_cast("double").try_cast("int").alias(c) for c in ("wday", "month", "year")],
-        "event_name_1",
-        "event_type_1",
+        "d", *[t.alias(c) for c, t in typed.items()], "event_name_1", "event_type_1"
     )
 
 

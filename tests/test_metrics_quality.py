@@ -121,3 +121,30 @@ def test_scalar_functions(spark):
     assert [tuple(r) for r in rows] == [("FOODS", 0.0), ("PLAIN", 4.0)]
     tag = spark.sql("SELECT timestamp'2026-03-01 10:00:00' AS ts").select(version_tag("ts"))
     assert tag.first()[0] == "v2026-03-01"
+
+
+def test_profile_counts_distinct_values_in_one_scan(spark, plan_of, tmp_path):
+    rows = [(1, "b", None, 0.1), (1, None, None, -0.0), (None, "a", None, 0.1), (10, "", None, 1e300)]
+    spark.createDataFrame(rows, "i int, s string, d date, x double").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    profile = quality.table_profile(df, ["i", "s", "d", "x"], distinct=["i", "s", "d", "x"])
+    assert plan_of(profile).count("FileScan") == 1
+    got = {r.column_name: tuple(r)[2:] for r in profile.collect()}
+    assert got["i"] == (1, "1", "10", 2)
+    assert got["s"] == (1, "", "b", 3)
+    assert got["d"] == (4, None, None, 0)
+    assert got["x"][1:3] == ("-0.0", "1.0E300")
+    some = {r.column_name: tuple(r)[2:] for r in quality.table_profile(df, ["i", "s"], ["s"]).collect()}
+    assert some["s"] == got["s"] and some["i"] == (1, "1", "10", None)
+    empty = quality.table_profile(df.where("false"), ["i"], ["i"]).collect()
+    assert [tuple(r) for r in empty] == [(0, "i", 0, None, None, 0)]
+
+
+def test_cast_losses_ride_along(spark):
+    losses = quality.CastLosses()
+    df = spark.createDataFrame([("1",), ("x",), (None,), ("2.7",)], "raw string")
+    typed = df.withColumn("n", F.col("raw").try_cast("double"))
+    out = losses.watch(typed, "file", {"n": (F.col("raw"), F.col("n"))})
+    assert out.count() == 4
+    assert losses.rows() == [("file", "n", 3, 1)]
+    assert losses.report(spark).columns == ["source", "column_name", "raw_values", "lost_values"]
