@@ -25,6 +25,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`saved` wrote and nothing will read again."""
+    for df in tables:
+        session = df.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            path = session._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns of the given names, in any case: results replace them."""
     taken = {n.lower() for n in names}

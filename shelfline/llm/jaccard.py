@@ -1,23 +1,24 @@
 """N-gram Jaccard join: documents whose sets of word shingles are at least 80 % alike.
 
-Exact, in four steps; the sets themselves travel only for documents in question.
-
-1. *Blocks.* One pass over the texts keeps bitmaps and prefixes. Shingles are ordered by hash. Two sets of similarity 0.8 share one of their
-   first n - ceil(0.8 n) + 1 shingles, so documents meet at the keys of these prefixes.
-   Keys of a single set are dropped by a sum (map-side combined) of the least and the
-   greatest set id of each key; exact copies have one set id.
-2. *Stars.* At each key every set is compared with the least one: by size, by bitmap, and
+Exact, in five steps; the sets themselves travel only for documents in question.
+
+1. *Order.* Shingles are ordered by hash, those that many documents of a sample hold last.
+   Any order gives the same links; this one keeps shared passages and lines out of the keys.
+2. *Blocks.* Two sets of similarity 0.8 share one of their first n - ceil(0.8 n) + 1
+   shingles, so documents meet at the keys of these prefixes. Keys of a single set are dropped
+   by the least and the greatest set id of each key (map-side combined); exact copies have one
+   set id.
+3. *Stars.* At each key every set is compared with the least one: by size, by bitmap, and
    exactly where these leave it open. That links the bulk of large groups of near copies
    with one comparison a set, not one a pair.
-3. *Signature trees.* Keys whose sets are still in several components are searched for the
-   remaining pairs: sets are leaves of a tree whose nodes hold the OR of token bitmaps and
+4. *Signature trees.* Keys whose sets are still in several components are searched for the
+   remaining links: sets are leaves of a tree whose nodes hold the OR of token bitmaps and
    the range of sizes. A dual traversal drops node pairs whose maximum possible overlap
    cannot reach 80 %, or whose pairs are linked already; wider bitmaps of the single sets
-   drop most others. A first search takes no more pairs of a key than join all that may be
-   alike; a second takes all that are still in different components then, so that nothing is
-   lost where a pair of the first is refuted. Both compare what is left exactly.
-   Keys of more than ``KEY_ROWS`` sets are dealt as pairs of blocks over many tasks.
-4. *Components* of all links, by alternating large and small stars.
+   drop most others, and what is left is compared exactly, there and then. A link joins two
+   components, so a search returns fewer rows than it has sets. Keys of more than ``KEY_HASHES``
+   shingles in all are dealt as pairs of blocks over many tasks, before they are shuffled.
+5. *Components* of all links, by alternating large and small stars.
 
 Words are runs of non-white ASCII space after lower-casing A-Z, shingles five of them; a
 text of fewer words is one shingle. Shingles are compared by 64-bit hashes.
@@ -39,20 +40,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import saved, text_bytes, with_scanned
+from shelfline.llm.common import discard, saved, text_bytes, with_scanned
 
 SHINGLE = 5
 PERCENT = 80
 #: Bits of a set in the nodes of the tree, and of the widest bitmap kept of a set.
 BITS, MOST_BITS = 1_024, 16_384
 CACHE = 400_000
-#: Sets at one key that one task searches; more are split into pairs of blocks.
-KEY_ROWS = 4_096
+#: Shingles of all sets at one key that one task searches; more are split into pairs of blocks.
+KEY_HASHES = 2_000_000
+#: Share of the documents that order shingles (one in so many), documents of it that make a
+#: shingle frequent, and most frequent shingles kept (8 bytes each, sent to all tasks).
+SAMPLED, OFTEN, MOST_OFTEN = 8, 3, 1 << 18
 #: Sets compared with one centre in one task.
 STAR_ROWS = 1_000
 #: Set ids sent to all tasks to pick the sets in question (8 bytes each).
 SENT_IDS = 4_000_000
 LEAF, FANOUT = 32, 8
+#: Node pairs taken apart at once.
+PART = 256
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SET_FIELDS = T.StructType(
@@ -100,9 +106,46 @@ def set_id(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+NONE = np.zeros(0, np.uint64)
+
+
+def prefix(hashes: np.ndarray, percent: int = PERCENT, last: np.ndarray = NONE) -> np.ndarray:
+    """The first shingles in order of hash, those in ``last`` (rising) after all others."""
     n = len(hashes)
-    return hashes[: n - -(-n * percent // 100) + 1]
+    size = n - -(-n * percent // 100) + 1
+    if len(last):
+        often = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
+        hashes = np.concatenate([hashes[~often], hashes[often]])
+    return hashes[:size]
+
+
+def frequent(texts: DataFrame) -> np.ndarray:
+    """Shingles (rising) that several documents of a sample hold; at most ``MOST_OFTEN``.
+
+    Tasks report what they have met more than once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle, held, size = Shingler(), [], 0
+
+        def told() -> pa.RecordBatch:
+            hashes, n = np.unique(np.concatenate(held) if held else NONE, return_counts=True)
+            some = n > 1
+            return pa.RecordBatch.from_arrays([pa.array(hashes[some].view(np.int64)), pa.array(n[some])], names=["hash", "n"])
+
+        for batch in batches:
+            for raw in text_bytes(batch.column(0)):
+                held.append(shingle(raw))
+                size += len(held[-1])
+                if size > 1 << 22:
+                    yield told()
+                    held, size = [], 0
+        yield told()
+
+    some = texts.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0)
+    counts = some.mapInArrow(run, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n"))
+    top = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "hash").limit(MOST_OFTEN).select("hash").toArrow()
+    return np.sort(np.array(top["hash"].to_pylist(), np.int64).view(np.uint64))
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -178,8 +221,8 @@ class SignatureTree:
             level, a, b = stack.pop()
             keep = (a != b) if level == 0 else np.ones(len(a), bool)
             a, b = a[keep], b[keep]
-            for start in range(0, len(a), 4_096):
-                part = slice(start, start + 4_096)
+            for start in range(0, len(a), PART):
+                part = slice(start, start + PART)
                 some = self.possible(level, a[part], b[part], percent)
                 x, y = a[part][some], b[part][some]
                 if not len(x):
@@ -238,18 +281,19 @@ def text_id(raw: bytes) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(raw), "little", signed=True)
 
 
-def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
+def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT, last: np.ndarray = NONE) -> DataFrame:
     """``docs`` with ``n_shingles``, ``set_id``, ``bits``, ``text_id`` and ``prefix`` (null without words)."""
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+    sent = docs.sparkSession.sparkContext.broadcast(last)
 
     def start():
-        shingle = Shingler()
+        shingle, last = Shingler(), sent.value
 
         def described(raw: bytes) -> tuple:
             found = shingle(raw)
             if not len(found):
                 return 0, None, None, None, None
-            return len(found), set_id(found), wide_bitmap(found).tobytes(), text_id(raw), prefix(found, percent).view(np.int64)
+            return len(found), set_id(found), wide_bitmap(found).tobytes(), text_id(raw), prefix(found, percent, last).view(np.int64)
 
         def step(texts: pa.Array) -> list[pa.Array]:
             rows = [described(t) for t in text_bytes(texts)]
@@ -361,16 +405,17 @@ def _wanted(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     return saved(ids.join(signs.select("set_id", "text_id"), "set_id"), "jaccard_wanted")
 
 
-def _distinct_keys(members: DataFrame) -> DataFrame:
+def _distinct_keys(members: DataFrame, *by: str) -> DataFrame:
     """``members`` with one key of those at which the same sets meet: a shared passage has many."""
     name = F.xxhash64("set_id")
-    met = members.groupBy("key").agg(
+    met = members.groupBy(*by).agg(
         F.min("set_id").alias("low"),
         F.count("*").alias("rows"),
-        F.sum(name.bitwiseAND(0xFFFFFFFF)).alias("x"),
-        F.sum(F.shiftrightunsigned(name, 32)).alias("y"),
+        F.sum(name.bitwiseAND(0xFFFFFFFF)).alias("sum_low"),
+        F.sum(F.shiftrightunsigned(name, 32)).alias("sum_high"),
     )
-    return members.join(met.groupBy("low", "rows", "x", "y").agg(F.min("key").alias("key")), "key", "left_semi")
+    kept = met.groupBy("low", "rows", "sum_low", "sum_high").agg(F.min(F.struct(*by)).alias("kept"))
+    return members.join(kept.select("kept.*"), list(by), "left_semi")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
@@ -382,11 +427,14 @@ def _links(pairs: DataFrame, texts: DataFrame, signs: DataFrame, percent: int) -
     return _compared(pairs, _sets(texts, _wanted(pairs, signs)), same).toDF("a", "b")
 
 
-def components(links: DataFrame, rounds: int = 50) -> DataFrame:
-    """``node`` and ``root``, the least node it is linked to, for every node in ``links``."""
+def components(links: DataFrame) -> DataFrame:
+    """``node`` and ``root``, the least node it is linked to, for every node in ``links``.
+
+    Rounds go on until nothing changes; a round's tables go when the next is written.
+    """
     edges = saved(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "jaccard_edges")
-    before = None
-    for _ in range(rounds):
+    before, now = None, _told(edges)
+    while now != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -394,102 +442,177 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        edges = saved(small, "jaccard_edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
+        old, edges = edges, saved(small, "jaccard_edges")
+        discard(old, large)
+        before, now = now, _told(edges)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = saved(roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "jaccard_roots")
+    discard(edges)
+    return out
 
 
-def _rest(members: DataFrame, roots: DataFrame, signs: DataFrame, percent: int, spanning: bool) -> DataFrame:
-    """Pairs of different components at a key that bitmaps cannot rule out.
+def _told(edges: DataFrame) -> tuple:
+    """What tells one set of edges from another."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    With ``spanning`` only as many of them as join what all of them would join.
+
+def _open(members: DataFrame, roots: DataFrame, signs: DataFrame) -> DataFrame:
+    """``key``, ``x``, ``y``, ``block``, ``set_id``, ``root`` of the sets at keys of several components.
+
+    ``x`` and ``y`` are a pair of blocks that are searched together. Hot keys are few, as each
+    holds ``KEY_HASHES`` shingles; they are told to all tasks, so that the sets at them are
+    dealt by blocks without meeting at the key first.
     """
-    placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "key", "set_id", "centre", F.coalesce("root", "set_id").alias("root")
+    # The centre of a key has been compared with all sets there.
+    sized = members.where("set_id != centre").join(signs.select("set_id", "n"), "set_id")
+    placed = sized.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "key", "set_id", "n", F.coalesce("root", "set_id").alias("root")
     )
-    open_keys = (
-        placed.groupBy("key")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows"))
-        .where("low != high")
-        .select("key", F.ceil(F.col("rows") / KEY_ROWS).cast("int").alias("blocks"))
+    placed = saved(placed, "jaccard_placed")
+    keys = placed.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.sum("n") / KEY_HASHES).cast("int").alias("blocks")
     )
+    keys = saved(keys.where("low != high").select("key", "blocks"), "jaccard_open")
+    hot = keys.where("blocks > 1")
     mine = F.pmod(F.xxhash64("set_id", "key"), F.col("blocks")).cast("int")
-    dealt = (
-        placed.join(open_keys, "key")
+    spread = (
+        placed.join(F.broadcast(hot), "key")
         .withColumn("block", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key",
-            F.least("block", "other").alias("x"),
-            F.greatest("block", "other").alias("y"),
-            "block",
-            "set_id",
-            "root",
-            "centre",
-        )
-        .join(signs.drop("text_id"), "set_id")
-        .select("key", "x", "y", "n", "set_id", "root", "centre", "block", "bits")
-        .repartition("key", "x", "y")
-        .sortWithinPartitions("key", "x", "y", "n", "set_id")
+        .select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "set_id", "root")
     )
+    zero = F.lit(0)
+    # Sets at hot keys leave before the others are shuffled by key.
+    cool = placed.join(F.broadcast(hot), "key", "left_anti").join(keys.where("blocks = 1"), "key", "left_semi")
+    cool = cool.select("key", zero.alias("x"), zero.alias("y"), zero.alias("block"), "set_id", "root")
+    return spread.unionByName(cool)
+
+
+class Joined:
+    """Which of some roots have been joined."""
+
+    def __init__(self, size: int):
+        self.up = np.arange(size)
+
+    def of(self, at: np.ndarray) -> np.ndarray:
+        found = self.up[at]
+        while (self.up[found] != found).any():
+            found = self.up[found]
+        self.up[at] = found
+        return found
 
-    def search(group: list[tuple]) -> set[tuple[int, int]]:
-        ids = np.array([r[4] for r in group], np.int64)
-        root = np.array([r[5] for r in group], np.int64)
-        block = np.array([r[7] for r in group])
-        if (root == root[0]).all():
-            return set()
-        sizes = np.array([r[3] for r in group], np.int64)
-        wide = WideBitmaps(sizes, [np.frombuffer(r[8], np.uint64) for r in group])
-        tree = SignatureTree(sizes, np.stack([folded(b, BITS // 64) for b in wide.bitmaps]))
-        root = np.unique(root, return_inverse=True)[1]
-        centre, crossed = group[0][6], group[0][1] != group[0][2]
-        out: set[tuple[int, int]] = set()
-        for i, j in tree.pairs(percent):
-            # Pairs with the centre have been compared.
-            some = (root[i] != root[j]) & (ids[i] != centre) & (ids[j] != centre)
-            if crossed:
-                some &= block[i] != block[j]
+    def join(self, a: int, b: int) -> None:
+        self.up[max(a, b)] = min(a, b)
+
+
+class Group:
+    """Sets at a key (or a pair of its blocks), rising in size, with bitmaps to rule out pairs."""
+
+    def __init__(self, sizes: np.ndarray, bitmaps: list[np.ndarray], root: np.ndarray, block: np.ndarray | None = None):
+        self.wide = WideBitmaps(sizes, bitmaps)
+        self.tree = SignatureTree(sizes, np.stack([folded(b, BITS // 64) for b in bitmaps]))
+        self.root, self.block = np.unique(root, return_inverse=True)[1], block
+        self.joined = Joined(len(sizes))
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs are of different components (and blocks)."""
+        some = self.joined.of(self.root[i]) != self.joined.of(self.root[j])
+        return some if self.block is None else some & (self.block[i] != self.block[j])
+
+    def possible(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs that bitmaps do not rule out, in parts, the most alike of a part first."""
+        for i, j in self.tree.pairs(percent):
+            some = self.apart(i, j)
             i, j = i[some], j[some]
-            share = wide.shares(i, j)
+            share = self.wide.shares(i, j)
             # alike: 100 I >= p (A + B - I); the share is rounded, so a little less will do
-            near = (100 + percent) * share >= percent - 1e-6
-            i, j, share = i[near], j[near], share[near]
-            while spanning and len(i):
-                at = np.argmax(share)
-                out.add((min(ids[i[at]], ids[j[at]]), max(ids[i[at]], ids[j[at]])))
-                root[root == root[j[at]]] = root[i[at]]
-                left = root[i] != root[j]
-                i, j, share = i[left], j[left], share[left]
-            low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            out.update(zip(low.tolist(), high.tolist(), strict=True))
+            near = np.flatnonzero((100 + percent) * share >= percent - 1e-6)
+            near = near[np.argsort(-share[near], kind="stable")]
+            yield i[near], j[near]
+
+    def places(self, percent: int = PERCENT) -> np.ndarray:
+        """Sets of at least one possible pair."""
+        found = np.zeros(len(self.root), bool)
+        for i, j in self.possible(percent):
+            found[i] = found[j] = True
+        return np.flatnonzero(found)
+
+    def links(self, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+        """Pairs that are alike, each of which joins two components."""
+        out = []
+        for i, j in self.possible(percent):
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                a, b = self.joined.of(self.root[[x, y]])
+                if a != b and alike(sets[x], sets[y], percent):
+                    self.joined.join(a, b)
+                    out.append((x, y))
         return out
 
+
+def _by_group(
+    dealt: DataFrame, sets: DataFrame, layout: str, found: Callable[[list[tuple]], list[tuple]]
+) -> DataFrame:
+    """What ``found`` makes of the sets of every key and pair of blocks, rising in size.
+
+    Rows are ``key``, ``x``, ``y``, ``n``, ``set_id``, ``root``, ``block``, ``payload``.
+    """
+    rows = (
+        dealt.join(sets, "set_id")
+        .select("key", "x", "y", "n", "set_id", "root", "block", "payload")
+        .repartition("key", "x", "y")
+        .sortWithinPartitions("key", "x", "y", "n", "set_id")
+    )
+    kinds = [c.split()[0] for c in layout.split(", ")]
+
+    def told(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {c: pa.array([r[k] for r in out], pa.int64()) for k, c in enumerate(kinds)}
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
-        told: set[tuple[int, int]] = set()
         for batch in batches:
-            out: set[tuple[int, int]] = set()
-            for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            out: list[tuple] = []
+            columns = [c.to_pylist() for c in batch.columns[:7]]
+            for k, row in enumerate(zip(*columns, strict=True)):
                 if group and row[:3] != group[0][:3]:
-                    out |= search(group)
+                    out += searched(group)
                     group = []
-                group.append(row)
-            yield _pairs(out - told)
-            told = out if len(told) > CACHE else told | out
-        yield _pairs(search(group) - told if group else set())
+                group.append((*row, batch.column(7)[k].as_py()))
+            yield told(out)
+        yield told(searched(group) if group else [])
+
+    def searched(group: list[tuple]) -> list[tuple]:
+        return [] if all(r[5] == group[0][5] for r in group) else found(group)
+
+    return rows.mapInArrow(run, layout)
+
+
+def _group(rows: list[tuple], bitmaps: list[np.ndarray]) -> Group:
+    block = np.array([r[6] for r in rows]) if rows[0][1] != rows[0][2] else None
+    return Group(np.array([r[3] for r in rows], np.int64), bitmaps, np.array([r[5] for r in rows], np.int64), block)
+
+
+def _in_question(dealt: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``dealt`` whose sets may be alike one of another component there."""
+
+    def found(rows: list[tuple]) -> list[tuple]:
+        group = _group(rows, [np.frombuffer(r[7], np.uint64) for r in rows])
+        return [(*rows[k][:3], rows[k][4], rows[k][5], rows[k][6]) for k in group.places(percent).tolist()]
+
+    layout = "key bigint, x bigint, y bigint, set_id bigint, root bigint, block bigint"
+    return _by_group(dealt, signs.select("set_id", "n", F.col("bits").alias("payload")), layout, found)
+
+
+def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) between components, found where the sets of a key lie."""
 
-    def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
-        left, right = [p[0] for p in found], [p[1] for p in found]
-        return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["centre", "set_id"])
+    def found(rows: list[tuple]) -> list[tuple]:
+        sets = [np.frombuffer(r[7], np.uint64) for r in rows]
+        links = _group(rows, [wide_bitmap(s) for s in sets]).links(sets, percent)
+        return [(rows[i][4], rows[j][4]) for i, j in links]
 
-    return dealt.mapInArrow(run, "centre bigint, set_id bigint").distinct()
+    return _by_group(dealt, sets, "a bigint, b bigint", found).distinct()
 
 
 def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -499,7 +622,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     """
     texts = docs.select(F.col(text).cast("string").alias("text"))
     whole = docs.select("doc_id", F.col(text).cast("string").alias("text"))
-    base = saved(with_set_ids(whole, "text", percent).drop("text"), "jaccard_base")
+    base = saved(with_set_ids(whole, "text", percent, frequent(texts)).drop("text"), "jaccard_base")
     keys = base.where("set_id IS NOT NULL").select(F.explode("prefix").alias("key"), "set_id")
     shared = saved(
         keys.groupBy("key")
@@ -508,21 +631,29 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
         .drop("last"),
         "jaccard_shared",
     )
-    members = saved(keys.join(shared, "key").distinct(), "jaccard_members")
-    members = saved(_distinct_keys(members), "jaccard_members")
+    met = saved(keys.join(shared, "key").distinct(), "jaccard_members")
+    members = saved(_distinct_keys(met, "key"), "jaccard_members")
+    discard(shared, met)
     signs = base.where("set_id IS NOT NULL").groupBy("set_id").agg(
         F.max("n_shingles").alias("n"), F.max("bits").alias("bits"), F.min("text_id").alias("text_id")
     )
     signs = saved(signs.join(members.select("set_id").distinct(), "set_id", "left_semi"), "jaccard_signs")
-    star = saved(members.where("set_id != centre").select("centre", "set_id").distinct(), "jaccard_star")
-    links = saved(_links(saved(_plausible(star, signs, percent), "jaccard_pairs"), texts, signs, percent), "jaccard_links")
-    roots = saved(components(links), "jaccard_roots")
-    for spanning in (True, False):
-        rest = saved(_rest(members, roots, signs, percent, spanning), "jaccard_rest")
-        if rest.isEmpty():
-            break
-        links = links.unionByName(saved(_links(rest, texts, signs, percent), "jaccard_links"))
-        roots = saved(components(links), "jaccard_roots")
+    star = members.where("set_id != centre").select("centre", "set_id").distinct()
+    plausible = saved(_plausible(star, signs, percent), "jaccard_pairs")
+    links = saved(_links(plausible, texts, signs, percent), "jaccard_links")
+    roots = components(links)
+    dealt = saved(_open(members, roots, signs), "jaccard_dealt")
+    left = saved(_in_question(dealt, signs, percent), "jaccard_left")
+    discard(members, plausible, dealt)
+    dealt = saved(_distinct_keys(left, "key", "x", "y"), "jaccard_dealt")
+    discard(left)
+    if not dealt.isEmpty():
+        wanted = dealt.select("set_id").distinct().join(signs.select("set_id", "text_id"), "set_id")
+        more = _search(dealt, _sets(texts, saved(wanted, "jaccard_wanted")), percent)
+        more = saved(links.unionByName(more), "jaccard_links")
+        discard(roots, links)
+        links, roots = more, components(more)
+    discard(dealt)
     roots = roots.withColumnRenamed("node", "set_id")
     first = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only sets with copies or links need a look-up; all other documents stand alone.
