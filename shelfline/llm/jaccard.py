@@ -15,8 +15,9 @@ Exact, in five steps; the sets themselves travel only for documents in question.
    remaining links: sets are leaves of a tree whose nodes hold the OR of token bitmaps and
    the range of sizes. A dual traversal drops node pairs whose maximum possible overlap
    cannot reach 80 %, or whose pairs are linked already; wider bitmaps of the single sets
-   drop most others, and what is left is compared exactly, there and then. A link joins two
-   components, so a search returns fewer rows than it has sets. Keys of more than ``KEY_HASHES``
+   drop most others. What is left in question, over all keys, falls into small circles of
+   sets, which are searched by such trees again, now with the sets themselves, each sent
+   once. A row joins two components, so no search returns as many rows as it has sets. Keys of more than ``KEY_HASHES``
    shingles in all are dealt as pairs of blocks over many tasks, before they are shuffled.
 5. *Components* of all links, by alternating large and small stars.
 
@@ -46,9 +47,12 @@ SHINGLE = 5
 PERCENT = 80
 #: Bits of a set in the nodes of the tree, and of the widest bitmap kept of a set.
 BITS, MOST_BITS = 1_024, 16_384
-CACHE = 400_000
-#: Shingles of all sets at one key that one task searches; more are split into pairs of blocks.
-KEY_HASHES = 2_000_000
+CACHE = 200_000
+#: Texts cut at once.
+TEXTS = 1_000
+#: Shingles of all sets, and sets, at one key that one task searches; more are split into
+#: pairs of blocks.
+KEY_HASHES, KEY_SETS = 2_000_000, 4_096
 #: Share of the documents that order shingles (one in so many), documents of it that make a
 #: shingle frequent, and most frequent shingles kept (8 bytes each, sent to all tasks).
 SAMPLED, OFTEN, MOST_OFTEN = 8, 3, 1 << 18
@@ -57,8 +61,8 @@ STAR_ROWS = 1_000
 #: Set ids sent to all tasks to pick the sets in question (8 bytes each).
 SENT_IDS = 4_000_000
 LEAF, FANOUT = 32, 8
-#: Node pairs taken apart at once.
-PART = 256
+#: Node pairs taken apart at once, and pairs of sets.
+PART, SETS_PART = 64, 4_096
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SET_FIELDS = T.StructType(
@@ -134,10 +138,10 @@ def frequent(texts: DataFrame) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(hashes[some].view(np.int64)), pa.array(n[some])], names=["hash", "n"])
 
         for batch in batches:
-            for raw in text_bytes(batch.column(0)):
+            for raw in _texts(batch):
                 held.append(shingle(raw))
                 size += len(held[-1])
-                if size > 1 << 22:
+                if size > 1 << 21:
                     yield told()
                     held, size = [], 0
         yield told()
@@ -219,24 +223,27 @@ class SignatureTree:
         stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
             level, a, b = stack.pop()
-            keep = (a != b) if level == 0 else np.ones(len(a), bool)
-            a, b = a[keep], b[keep]
-            for start in range(0, len(a), PART):
-                part = slice(start, start + PART)
-                some = self.possible(level, a[part], b[part], percent)
-                x, y = a[part][some], b[part][some]
-                if not len(x):
-                    continue
-                if level == 0:
-                    yield x, y
-                    continue
-                step = LEAF if level == 1 else FANOUT
-                below = len(self.levels[level - 1][0])
-                i, j = np.divmod(np.arange(step * step), step)
-                x2 = (x[:, None] * step + i).ravel()
-                y2 = (y[:, None] * step + j).ravel()
-                inside = (x2 < below) & (y2 < below) & (x2 <= y2)
-                stack.append((level - 1, x2[inside], y2[inside]))
+            most = SETS_PART if level == 0 else PART
+            if len(a) > most:
+                # The rest waits, so that no more than one part of a level is ever spread out.
+                stack.append((level, a[most:], b[most:]))
+                a, b = a[:most], b[:most]
+            if level == 0:
+                a, b = a[a != b], b[a != b]
+            some = self.possible(level, a, b, percent)
+            x, y = a[some], b[some]
+            if not len(x):
+                continue
+            if level == 0:
+                yield x, y
+                continue
+            step = LEAF if level == 1 else FANOUT
+            below = len(self.levels[level - 1][0])
+            i, j = np.divmod(np.arange(step * step), step)
+            x2 = (x[:, None] * step + i).ravel()
+            y2 = (y[:, None] * step + j).ravel()
+            inside = (x2 < below) & (y2 < below) & (x2 <= y2)
+            stack.append((level - 1, x2[inside], y2[inside]))
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -277,6 +284,12 @@ class WideBitmaps:
         return out
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The texts in the first column, some at a time."""
+    for start in range(0, batch.num_rows, TEXTS):
+        yield from text_bytes(batch.column(0).slice(start, TEXTS))
+
+
 def text_id(raw: bytes) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(raw), "little", signed=True)
 
@@ -287,17 +300,24 @@ def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT, la
     sent = docs.sparkSession.sparkContext.broadcast(last)
 
     def start():
-        shingle, last = Shingler(), sent.value
+        shingle, last, told = Shingler(), sent.value, set()
 
         def described(raw: bytes) -> tuple:
             found = shingle(raw)
             if not len(found):
                 return 0, None, None, None, None
-            return len(found), set_id(found), wide_bitmap(found).tobytes(), text_id(raw), prefix(found, percent, last).view(np.int64)
+            name, bits = set_id(found), wide_bitmap(found).tobytes()
+            # Copies meet by their set; the keys of one of them in a task are enough.
+            keys = None if name in told else prefix(found, percent, last).view(np.int64)
+            told.add(name)
+            return len(found), name, bits, text_id(raw), keys
 
         def step(texts: pa.Array) -> list[pa.Array]:
-            rows = [described(t) for t in text_bytes(texts)]
-            return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            parts = []
+            for start in range(0, len(texts), TEXTS):
+                rows = [described(t) for t in text_bytes(texts.slice(start, TEXTS))]
+                parts.append([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)])
+            return [pa.concat_arrays([p[i] for p in parts]) if parts else pa.array([], k) for i, k in enumerate(kinds)]
 
         return step
 
@@ -319,7 +339,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         shingle, told = Shingler(), set()
         for batch in batches:
             rows, held = [], 0
-            for raw in text_bytes(batch.column(0)):
+            for raw in _texts(batch):
                 if ids is not None:
                     name = text_id(raw)
                     at = np.searchsorted(ids.value, name)
@@ -331,7 +351,7 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     continue
                 rows.append((set_id(found), len(found), found.tobytes()))
                 held += len(found)
-                if held > 1 << 20:
+                if held > 1 << 19:
                     yield _batch(rows)
                     rows, held = [], 0
             if rows:
@@ -463,14 +483,13 @@ def _open(members: DataFrame, roots: DataFrame, signs: DataFrame) -> DataFrame:
     holds ``KEY_HASHES`` shingles; they are told to all tasks, so that the sets at them are
     dealt by blocks without meeting at the key first.
     """
-    # The centre of a key has been compared with all sets there.
-    sized = members.where("set_id != centre").join(signs.select("set_id", "n"), "set_id")
+    sized = members.join(signs.select("set_id", "n"), "set_id")
     placed = sized.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "key", "set_id", "n", F.coalesce("root", "set_id").alias("root")
     )
     placed = saved(placed, "jaccard_placed")
     keys = placed.groupBy("key").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.sum("n") / KEY_HASHES).cast("int").alias("blocks")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.greatest(F.sum("n") / KEY_HASHES, F.count("*") / KEY_SETS)).cast("int").alias("blocks"),
     )
     keys = saved(keys.where("low != high").select("key", "blocks"), "jaccard_open")
     hot = keys.where("blocks > 1")
@@ -530,12 +549,19 @@ class Group:
             near = near[np.argsort(-share[near], kind="stable")]
             yield i[near], j[near]
 
-    def places(self, percent: int = PERCENT) -> np.ndarray:
-        """Sets of at least one possible pair."""
-        found = np.zeros(len(self.root), bool)
+    def plausible(self, percent: int = PERCENT) -> list[tuple[int, int]]:
+        """Pairs that join all sets which possible pairs join, one for each joining."""
+        met, out = Joined(len(self.root)), []
         for i, j in self.possible(percent):
-            found[i] = found[j] = True
-        return np.flatnonzero(found)
+            while True:
+                new = np.flatnonzero(met.of(i) != met.of(j))
+                if not len(new):
+                    break
+                i, j = i[new], j[new]
+                a, b = met.of(np.array([i[0], j[0]]))
+                met.join(a, b)
+                out.append((int(i[0]), int(j[0])))
+        return out
 
     def links(self, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
         """Pairs that are alike, each of which joins two components."""
@@ -594,14 +620,13 @@ def _group(rows: list[tuple], bitmaps: list[np.ndarray]) -> Group:
 
 
 def _in_question(dealt: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``dealt`` whose sets may be alike one of another component there."""
+    """Pairs (``a``, ``b``) that join what bitmaps leave in question at each key."""
 
     def found(rows: list[tuple]) -> list[tuple]:
         group = _group(rows, [np.frombuffer(r[7], np.uint64) for r in rows])
-        return [(*rows[k][:3], rows[k][4], rows[k][5], rows[k][6]) for k in group.places(percent).tolist()]
+        return [(rows[i][4], rows[j][4]) for i, j in group.plausible(percent)]
 
-    layout = "key bigint, x bigint, y bigint, set_id bigint, root bigint, block bigint"
-    return _by_group(dealt, signs.select("set_id", "n", F.col("bits").alias("payload")), layout, found)
+    return _by_group(dealt, signs.select("set_id", "n", F.col("bits").alias("payload")), "a bigint, b bigint", found).distinct()
 
 
 def _search(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -624,16 +649,12 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     whole = docs.select("doc_id", F.col(text).cast("string").alias("text"))
     base = saved(with_set_ids(whole, "text", percent, frequent(texts)).drop("text"), "jaccard_base")
     keys = base.where("set_id IS NOT NULL").select(F.explode("prefix").alias("key"), "set_id")
-    shared = saved(
-        keys.groupBy("key")
-        .agg(F.min("set_id").alias("centre"), F.max("set_id").alias("last"))
-        .where("centre != last")
-        .drop("last"),
-        "jaccard_shared",
-    )
-    met = saved(keys.join(shared, "key").distinct(), "jaccard_members")
+    # Dealt by key once; extents and members of the keys both read that exchange.
+    keys = keys.repartition("key")
+    shared = keys.groupBy("key").agg(F.min("set_id").alias("centre"), F.max("set_id").alias("last"))
+    met = saved(keys.join(shared.where("centre != last").drop("last"), "key").distinct(), "jaccard_members")
     members = saved(_distinct_keys(met, "key"), "jaccard_members")
-    discard(shared, met)
+    discard(met)
     signs = base.where("set_id IS NOT NULL").groupBy("set_id").agg(
         F.max("n_shingles").alias("n"), F.max("bits").alias("bits"), F.min("text_id").alias("text_id")
     )
@@ -642,18 +663,20 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     plausible = saved(_plausible(star, signs, percent), "jaccard_pairs")
     links = saved(_links(plausible, texts, signs, percent), "jaccard_links")
     roots = components(links)
-    dealt = saved(_open(members, roots, signs), "jaccard_dealt")
-    left = saved(_in_question(dealt, signs, percent), "jaccard_left")
+    # The centre of a key has been compared with all sets there.
+    dealt = saved(_open(members.where("set_id != centre"), roots, signs), "jaccard_dealt")
+    asked = saved(_in_question(dealt, signs, percent), "jaccard_asked")
     discard(members, plausible, dealt)
-    dealt = saved(_distinct_keys(left, "key", "x", "y"), "jaccard_dealt")
-    discard(left)
-    if not dealt.isEmpty():
+    if not asked.isEmpty():
+        # Sets in question with each other, over all keys: each is sent once, or once a block.
+        circles = components(asked).select(F.col("root").alias("key"), F.col("node").alias("set_id"))
+        dealt = saved(_open(circles, roots, signs), "jaccard_dealt")
         wanted = dealt.select("set_id").distinct().join(signs.select("set_id", "text_id"), "set_id")
         more = _search(dealt, _sets(texts, saved(wanted, "jaccard_wanted")), percent)
         more = saved(links.unionByName(more), "jaccard_links")
-        discard(roots, links)
+        discard(roots, links, dealt)
         links, roots = more, components(more)
-    discard(dealt)
+    discard(asked)
     roots = roots.withColumnRenamed("node", "set_id")
     first = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     # Only sets with copies or links need a look-up; all other documents stand alone.
