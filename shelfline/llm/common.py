@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterator
@@ -77,5 +78,15 @@ def kept_in_worker(kind: str, key: Hashable, make: Callable[[], object]) -> obje
     return kept[kind][1]
 
 
+def release_kept() -> None:
+    """Free what earlier stages kept in this Python worker."""
+    module = sys.modules.get("_kept_in_worker")
+    if module is not None and vars(module):
+        for kind in [k for k, v in vars(module).items() if isinstance(v, tuple) and len(v) == 2]:
+            del vars(module)[kind]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def hex_sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import discard, saved, text_bytes, with_scanned
+from shelfline.llm.common import discard, release_kept, saved, text_bytes, with_scanned
 
 SHINGLE = 5
 PERCENT = 80
@@ -130,6 +130,7 @@ def frequent(texts: DataFrame) -> np.ndarray:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         shingle, held, size = Shingler(), [], 0
 
         def told() -> pa.RecordBatch:
@@ -300,6 +301,7 @@ def with_set_ids(docs: DataFrame, text: str = "text", percent: int = PERCENT, la
     sent = docs.sparkSession.sparkContext.broadcast(last)
 
     def start():
+        release_kept()
         shingle, last, told = Shingler(), sent.value, set()
 
         def described(raw: bytes) -> tuple:
@@ -596,6 +598,7 @@ def _by_group(
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         group: list[tuple] = []
         for batch in batches:
             out: list[tuple] = []

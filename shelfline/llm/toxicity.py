@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import saved, text_bytes, with_scanned
+from shelfline.llm.common import release_kept, saved, text_bytes, with_scanned
 from shelfline.llm.decontaminate import words_of
 
 EXAMPLES = 8_000
@@ -297,6 +297,7 @@ def with_scores(docs: DataFrame, index: BlockMaxIndex, text: str = "text", k: in
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
     def start():
+        release_kept()
         found = sent.value
         known = KnownTerms(found.terms)
         # Short vectors repeat: many texts hold one or two terms.
