@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -15,6 +16,10 @@ from pyspark.sql import types as T
 from shelfline.session import new_dir
 
 
+#: Texts scanned at once.
+SCANNED = 500
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -65,7 +70,12 @@ def with_scanned(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = scan()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *step(batch.column(at))], names=names)
+            # What a scan makes of texts is several times their size, so some are taken at a time.
+            for start in range(0, batch.num_rows, SCANNED):
+                part = batch.slice(start, SCANNED)
+                yield pa.RecordBatch.from_arrays([*part.columns, *step(part.column(at))], names=names)
+        del step
+        trim()
 
     return df.mapInArrow(run, schema)
 
@@ -74,18 +84,27 @@ def kept_in_worker(kind: str, key: Hashable, make: Callable[[], object]) -> obje
     """``make()``, kept in this Python worker for later tasks; one object of each kind."""
     kept = vars(sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")))
     if kind not in kept or kept[kind][0] != key:
+        release_kept()  # a stage keeps one object; what others kept is not asked for again
         kept[kind] = (key, make())
     return kept[kind][1]
 
 
 def release_kept() -> None:
     """Free what earlier stages kept in this Python worker."""
-    module = sys.modules.get("_kept_in_worker")
-    if module is not None and vars(module):
-        for kind in [k for k, v in vars(module).items() if isinstance(v, tuple) and len(v) == 2]:
-            del vars(module)[kind]
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+    kept = vars(sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")))
+    for kind in [k for k, v in kept.items() if isinstance(v, tuple) and len(v) == 2]:
+        del kept[kind]
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: workers outlive their tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
 
 
 def hex_sha256(text: Column) -> Column:

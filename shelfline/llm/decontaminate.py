@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import text_bytes, with_scanned, without
+from shelfline.llm.common import release_kept, text_bytes, with_scanned, without
 
 #: Bytes of words as they are, A-Z in lower case, everything else a space.
 WORD_BYTES = bytes(
@@ -126,6 +126,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", n: int = WIN
         sent = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in part.collect()]))
 
         def start(sent=sent):
+            release_kept()
             found = sent.value
 
             def step(texts: pa.Array) -> list[pa.Array]:

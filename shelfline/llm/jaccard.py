@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import discard, release_kept, saved, text_bytes, with_scanned
+from shelfline.llm.common import discard, release_kept, saved, text_bytes, trim, with_scanned
 
 SHINGLE = 5
 PERCENT = 80
@@ -358,6 +358,8 @@ def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows, held = [], 0
             if rows:
                 yield _batch(rows)
+        del shingle
+        trim()
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.binary()]
@@ -610,6 +612,8 @@ def _by_group(
                 group.append((*row, batch.column(7)[k].as_py()))
             yield told(out)
         yield told(searched(group) if group else [])
+        group.clear()
+        trim()
 
     def searched(group: list[tuple]) -> list[tuple]:
         return [] if all(r[5] == group[0][5] for r in group) else found(group)
