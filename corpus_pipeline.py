@@ -15,16 +15,32 @@ from shelfline.llm import decontaminate, jaccard, personal, sentencepiece_fst, t
 from shelfline.llm.common import saved, table
 from shelfline.llm.queries import PIECE_MODEL
 
+#: Most rows of an Arrow batch.
+BATCH = 1_000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    """Texts can be long: fewer rows in a batch that travels to a Python worker and back.
+
+    Only memory follows from it; a session that asks for less keeps its own setting.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return toxicity.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return jaccard.representatives(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return decontaminate.drop_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -37,6 +53,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns but the text, with ``pieces`` and their number."""
+    _short_batches(spark)
     found = sentencepiece_fst.encode(docs, public_tokenizers.path(PIECE_MODEL))
     return found.withColumn("n_pieces", F.size("pieces").cast("long")).drop("text")
 
