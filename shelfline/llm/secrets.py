@@ -7,8 +7,13 @@ counts per character and the sum of c*log2(c) are updated by the character that
 the one that leaves. From the first to the last window at or above the threshold is one
 span, unless the candidate is on the allow-list or overlaps a span of a fixed pattern.
 
-Defined cases: a null or empty text has no spans; spans are in code points, end exclusive;
-other columns pass through and result columns replace input columns of the same name.
+A candidate is cut into its characters once, and a step touches a few packed counts: time
+grows with the length of a candidate, also of one that fills a text. The sum is kept in
+whole units of 2**-32, so it does not drift.
+
+Defined cases: a null or empty text has no spans; repeated rows are scanned like others;
+spans are in code points, end exclusive; other columns pass through and result columns
+replace input columns of the same name.
 """
 
 from __future__ import annotations
@@ -35,70 +40,100 @@ CLASSES = {
     "hex": ("0123456789abcdef", 3.0),
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.8),
 }
-#: Candidates that are no secrets: words, UUIDs, published sample keys.
-ALLOWED = r"^[A-Za-z/_=-]+$|^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|EXAMPLE|^[0-9]+$"
+#: Candidates that are no secrets: UUIDs, published sample keys, numbers.
+ALLOWED = r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|EXAMPLE|^[0-9]+$"
+#: Words and paths without digits are none either, unless capitals stand as in no word.
+WORDS = r"^[A-Za-z/_=-]+$"
+NO_WORD = r"[A-Z][a-z][A-Z]"
+
+#: Counts to a long, and bits of a count.
+PACKED, BITS = 12, 5
+#: Units of the sum of c*log2(c).
+UNIT = 2**32
+
+
+def _rise(count: Column) -> Column:
+    """By how much c*log2(c) grows from a count to the next, in units; null where there is no count."""
+    weights = [round(c * log2(c) * UNIT) if c else 0 for c in range(WINDOW + 1)]
+    return F.get(F.array(*[F.lit(b - a).cast("long") for a, b in zip(weights, weights[1:])]), count)
 
 
-def _weight(count: Column) -> Column:
-    """c * log2(c) of a count within a window, from a table."""
-    return F.element_at(F.array(*[F.lit(c * log2(c) if c else 0.0) for c in range(WINDOW + 1)]), count + 1)
+def _places(candidate: Column, alphabet: str) -> Column:
+    """For every character, the long and the bit where its count begins."""
 
+    def place(char: Column) -> Column:
+        k = F.instr(F.lit(alphabet), char) - 1
+        return F.struct((k / PACKED).cast("int").alias("word"), ((k % PACKED) * BITS).cast("int").alias("bit"))
 
-def dense_windows(candidate: Column, alphabet: str, least: float) -> Column:
+    return F.transform(F.split(candidate, ""), place)
+
+
+def dense_windows(places: Column, alphabet: str, least: float) -> Column:
     """Start of the first and end of the last window of at least ``least`` bits, or -1 twice."""
-    symbols = F.lit(alphabet)
-    first = F.substring(candidate, 1, WINDOW)
-    counts = F.transform(
-        F.sequence(F.lit(1), F.lit(len(alphabet))),
-        lambda k: WINDOW - F.length(F.replace(first, F.substring(symbols, k, F.lit(1)), F.lit(""))),
-    )
-    total = F.aggregate(counts, F.lit(0.0), lambda s, c: s + _weight(c))
-    dense = lambda s: F.lit(log2(WINDOW)) - s / WINDOW >= least
-
-    def step(state: Column, at: Column) -> Column:
-        gone = F.instr(symbols, F.substring(candidate, at, F.lit(1)))
-        came = F.instr(symbols, F.substring(candidate, at + WINDOW, F.lit(1)))
-        a, b = F.element_at(state["counts"], gone), F.element_at(state["counts"], came)
-        moved = state["total"] - _weight(a) + _weight(a - 1) - _weight(b) + _weight(b + 1)
-        total = F.when(gone == came, state["total"]).otherwise(moved)
+    one = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), p["bit"])
+
+    def count(counts: Column, p: Column) -> Column:
+        shifted = F.call_function("shiftright", F.get(counts, p["word"]), p["bit"])
+        return shifted.bitwiseAND(F.lit(2**BITS - 1).cast("long")).cast("int")
+
+    most = round((log2(WINDOW) - least) * WINDOW * UNIT)
+    zero = F.lit(0).cast("long")
+
+    def step(state: Column, move: Column) -> Column:
+        gone, came, counts = move["gone"], move["came"], state["counts"]
+        grown = _rise(count(counts, came)) - F.coalesce(_rise(count(counts, gone) - 1), zero)
+        total = F.when(gone == came, state["total"]).otherwise(state["total"] + grown)
         after = F.transform(
-            state["counts"],
-            lambda c, k: c - (k + 1 == gone).cast("int") + (k + 1 == came).cast("int"),
+            counts,
+            lambda c, k: c
+            + F.when(k == came["word"], one(came)).otherwise(zero)
+            - F.when(k == gone["word"], one(gone)).otherwise(zero),
         )
+        end = state["end"] + 1
+        dense = (end >= WINDOW) & (total <= most)
         return F.struct(
             after.alias("counts"),
             total.alias("total"),
-            F.when(dense(total) & (state["first"] < 0), at).otherwise(state["first"]).alias("first"),
-            F.when(dense(total), at + WINDOW).otherwise(state["last"]).alias("last"),
+            end.alias("end"),
+            F.when((state["first"] < 0) & dense, end - WINDOW).otherwise(state["first"]).alias("first"),
+            F.when(dense, end).otherwise(state["last"]).alias("last"),
         )
 
-    start = F.struct(
-        counts.alias("counts"),
-        total.alias("total"),
-        F.when(dense(total), 0).otherwise(-1).alias("first"),
-        F.when(dense(total), WINDOW).otherwise(-1).alias("last"),
+    nothing = F.struct(F.lit(-1).alias("word"), F.lit(0).alias("bit"))
+    moves = F.arrays_zip(
+        F.concat(F.array_repeat(nothing, WINDOW), F.slice(places, F.lit(1), F.size(places) - WINDOW)).alias("gone"),
+        places.alias("came"),
     )
-    moves = F.sequence(F.lit(1), F.length(candidate) - WINDOW)
-    none = F.array().cast("array<int>")
-    return F.aggregate(
-        F.when(F.length(candidate) > WINDOW, moves).otherwise(none),
-        start,
-        step,
-        lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")),
+    start = F.struct(
+        F.array_repeat(zero, -(-len(alphabet) // PACKED)).alias("counts"),
+        zero.alias("total"),
+        F.lit(0).alias("end"),
+        F.lit(-1).alias("first"),
+        F.lit(-1).alias("last"),
     )
+    return F.aggregate(moves, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
 def entropy_spans(text: Column, base: Column, rank: int) -> Column:
     """Spans of candidates with dense windows, apart from allowed ones and from ``base``."""
-    found = F.filter(hits(text, CANDIDATE), lambda h: ~h["hit"].rlike(ALLOWED))
 
-    def windows(h: Column) -> Column:
+    def allowed(h: Column) -> Column:
+        return h["hit"].rlike(ALLOWED) | (h["hit"].rlike(WORDS) & ~h["hit"].rlike(NO_WORD))
+
+    def coded(h: Column) -> Column:
         is_hex = h["hit"].rlike("^[0-9a-fA-F]+$")
-        return F.when(is_hex, dense_windows(F.lower(h["hit"]), *CLASSES["hex"])).otherwise(
-            dense_windows(h["hit"], *CLASSES["base64"])
+        places = F.when(is_hex, _places(F.lower(h["hit"]), CLASSES["hex"][0])).otherwise(
+            _places(h["hit"], CLASSES["base64"][0])
+        )
+        return F.struct(h["start"].alias("start"), is_hex.alias("is_hex"), places.alias("places"))
+
+    def windows(c: Column) -> Column:
+        return F.when(c["is_hex"], dense_windows(c["places"], *CLASSES["hex"])).otherwise(
+            dense_windows(c["places"], *CLASSES["base64"])
         )
 
-    placed = F.transform(found, lambda h: F.struct(h["start"].alias("start"), windows(h).alias("w")))
+    found = F.transform(F.filter(hits(text, CANDIDATE), lambda h: ~allowed(h)), coded)
+    placed = F.transform(found, lambda c: F.struct(c["start"].alias("start"), windows(c).alias("w")))
     dense = F.filter(placed, lambda p: p["w"]["first"] >= 0)
     out = F.transform(
         dense,
