@@ -4,13 +4,21 @@ Equal vectors are indexed once, with the ``k + 1`` smallest of their ids: no ans
 more. A k-means of a bounded sample (``SAMPLE`` vectors) gives at most ``CLUSTERS`` regions;
 every vector is indexed, in the shard of its nearest centroid. Regions of more than
 ``SHARD`` vectors are dealt over several shards by hash, so a hot region does not make a
-large task. A query goes to all shards of its ``PROBES`` nearest regions.
-
-In each shard the graph is built in batches: a beam search proposes the neighbours of new
-vectors, relaxed pruning (an edge goes if a kept neighbour is closer to its end by the
-factor ``ALPHA``) keeps diverse ones, and the reverse edges are added and pruned likewise.
-Queries run the same beam search from the medoid. Distances are Euclidean; those returned
-are computed in double precision on the original vectors.
+large task.
+
+A query goes to all shards of every region whose centroid is at most a margin farther than
+its nearest one. The margin is measured, not set: brute force within the sample gives true
+neighbours of ``ASKED`` of its vectors, and the margin is the least that reaches the regions
+of the share ``coverage`` of them. Neighbours in the whole table are nearer than those in a
+sample, so the share reached there is rather larger. A coverage of 1 visits all regions.
+
+In each shard the graph is built once, in batches, and written: a beam search proposes the
+neighbours of new vectors, relaxed pruning (an edge goes if a kept neighbour is closer to
+its end by the factor ``ALPHA``) keeps diverse ones, and the reverse edges are added and
+pruned likewise. Queries run the same beam search from the medoid; those of one shard are
+dealt over tasks of about ``QUERIES``. Distances are Euclidean, in double precision, on
+vectors divided by a power of two near the largest component, which changes no digit and
+keeps squares finite.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 take no part; only vectors of equal length are compared; repeated rows count once; fewer
@@ -35,7 +43,9 @@ K = 10
 SHARD = 8_192
 SAMPLE = 20_000
 CLUSTERS = 256
-PROBES = 8
+#: Vectors of the sample whose true neighbours set the margin, and the share to be reached.
+ASKED, COVERAGE = 512, 0.97
+QUERIES = 4_096
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 32, 48, 96, 1.2
 BATCH = 256
 
@@ -50,10 +60,13 @@ def _distances(queries: np.ndarray, vectors: np.ndarray, at: np.ndarray) -> np.n
 class Graph:
     """Directed graph over the rows of ``x`` with at most ``DEGREE`` edges a row."""
 
-    def __init__(self, x: np.ndarray, seed: int = 0):
-        self.x, n = x.astype(np.float32), len(x)
+    def __init__(self, x: np.ndarray, seed: int = 0, edges: np.ndarray | None = None):
+        self.x, n = x, len(x)
         centre = self.x.mean(axis=0)
         self.entry = int(((self.x - centre) ** 2).sum(axis=1).argmin())
+        if edges is not None:
+            self.edges = edges
+            return
         self.edges = np.full((n, DEGREE), -1, np.int64)
         if n <= DEGREE:
             for i in range(n):
@@ -76,7 +89,7 @@ class Graph:
         seen = np.zeros((b, len(self.x)), bool)
         seen[:, self.entry] = True
         ids = np.full((b, beam), -1, np.int64)
-        dist = np.full((b, beam), np.inf, np.float32)
+        dist = np.full((b, beam), np.inf)
         fresh = np.zeros((b, beam), bool)
         ids[:, 0], fresh[:, 0] = self.entry, True
         dist[:, 0] = _distances(queries, self.x, ids[:, :1])[:, 0]
@@ -157,20 +170,42 @@ def usable(vector: Column) -> Column:
 def _centroids(sample: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     found = sample[np.random.default_rng(1).permutation(len(sample))[:k]].copy()
     for _ in range(rounds):
-        near = _nearest_regions(sample, found, 1)[:, 0]
+        near = _to_regions(sample, found).argmin(axis=1)
         for j in range(k):
             if (near == j).any():
                 found[j] = sample[near == j].mean(axis=0)
     return found
 
 
-def _nearest_regions(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
-    far = (centroids**2).sum(axis=1) - 2 * x @ centroids.T
-    return np.argsort(far, axis=1, kind="stable")[:, :k]
+def _to_regions(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Distances of vectors to centroids."""
+    square = (x**2).sum(axis=1)[:, None] + (centroids**2).sum(axis=1) - 2 * x @ centroids.T
+    return np.sqrt(np.maximum(square, 0.0))
+
+
+def _margin(sample: np.ndarray, centroids: np.ndarray, k: int, coverage: float) -> float:
+    """How much farther than the nearest centroid those of true neighbours' regions are."""
+    if coverage >= 1:
+        return np.inf
+    if len(centroids) == 1 or len(sample) < 2:
+        return 0.0
+    asked = sample[:ASKED]
+    apart = _to_regions(asked, sample)
+    apart[np.arange(len(asked)), np.arange(len(asked))] = np.inf
+    near = np.argsort(apart, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
+    region = np.concatenate([_to_regions(part, centroids).argmin(axis=1) for part in np.array_split(sample, -(-len(sample) // 2_048))])
+    far = _to_regions(asked, centroids)
+    need = np.take_along_axis(far, region[near], 1) - far.min(axis=1)[:, None]
+    return float(np.quantile(need, coverage, method="higher"))
 
 
-def _regions(vectors: DataFrame, sent, probes: int) -> DataFrame:
-    """Append ``regions``: the nearest ones of the vector's length, nearest first."""
+def _scale(largest: float) -> float:
+    """The power of two at or below ``largest``."""
+    return float(np.ldexp(1.0, int(np.frexp(largest)[1]) - 1))
+
+
+def _regions(vectors: DataFrame, sent, nearest: bool) -> DataFrame:
+    """Append ``regions``: the nearest one of the vector's length, or all within the margin."""
     schema = T.StructType([*vectors.schema.fields, T.StructField("regions", T.ArrayType(T.IntegerType()))])
     at = vectors.columns.index("vector")
 
@@ -181,38 +216,65 @@ def _regions(vectors: DataFrame, sent, probes: int) -> DataFrame:
             sizes = np.array([len(r) for r in rows], np.int64)
             for d in np.unique(sizes):
                 here = np.flatnonzero(sizes == d)
-                base, centroids = sent.value[int(d)]
-                near = _nearest_regions(np.array([rows[i] for i in here], np.float32), centroids, probes)
-                for i, found in zip(here, near, strict=True):
+                base, centroids, margin, scale = sent.value[int(d)]
+                far = _to_regions(np.array([rows[i] for i in here], float) / scale, centroids)
+                for i, row in zip(here, far, strict=True):
+                    found = row.argmin(keepdims=True) if nearest else np.flatnonzero(row <= row.min() + margin)
                     out[i] = (found + base).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], names=schema.names)
 
     return vectors.mapInArrow(run, schema)
 
 
-def _search_shard(key, vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+def _matrix(vectors: pd.Series, scale: float) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(float) / scale
+
+
+def _graphs(indexed: DataFrame, sent) -> DataFrame:
+    """Every vector of ``indexed`` with its ``line`` in its shard and its ``edges`` to other lines."""
+    schema = T.StructType(
+        [*indexed.schema.fields, T.StructField("line", T.IntegerType()), T.StructField("edges", T.ArrayType(T.IntegerType()))]
+    )
+
+    def build(rows: pd.DataFrame) -> pd.DataFrame:
+        scale = sent.value[len(rows["vector"].iloc[0])][3]
+        edges = Graph(_matrix(rows["vector"], scale)).edges
+        return rows.assign(line=np.arange(len(rows), dtype=np.int32), edges=list(edges.astype(np.int32)))
+
+    return indexed.groupBy("region", "salt").applyInPandas(build, schema)
+
+
+def _search_shard(points: pd.DataFrame, queries: pd.DataFrame, k: int, sent) -> pd.DataFrame:
     empty = pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], float)})
-    if not len(vectors) or not len(queries):
+    if not len(points) or not len(queries):
         return empty
-    x = np.stack(vectors["vector"].to_numpy())
-    graph = Graph(x)
-    exact = x.astype(np.float64)
-    ids = vectors["ids"].tolist()
+    points = points.sort_values("line")
+    scale = sent.value[len(points["vector"].iloc[0])][3]
+    x = _matrix(points["vector"], scale)
+    graph = Graph(x, edges=np.stack(points["edges"].to_numpy()).astype(np.int64))
+    ids = points["ids"].tolist()
     out: list[tuple[int, int, float]] = []
     for start in range(0, len(queries), BATCH):
         part = queries.iloc[start : start + BATCH]
-        asked = np.stack(part["vector"].to_numpy())
-        rows, _ = graph.search(asked.astype(np.float32), BEAM)
-        for query, vector, found in zip(part["query_id"], asked.astype(np.float64), rows, strict=True):
+        asked = _matrix(part["vector"], scale)
+        rows, _ = graph.search(asked, BEAM)
+        for query, vector, found in zip(part["query_id"], asked, rows, strict=True):
             found = found[found >= 0]
-            score = np.sqrt(((exact[found] - vector) ** 2).sum(axis=1))
+            score = np.sqrt(((x[found] - vector) ** 2).sum(axis=1)) * scale
             # Rows of equal score may hide the smallest ids; take whole ties.
             pairs = sorted((s, i) for r, s in zip(found, score, strict=True) for i in ids[r] if i != query)[:k]
             out += [(query, i, s) for s, i in pairs]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else empty
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD, probes: int = PROBES) -> DataFrame:
+def search(
+    vectors: DataFrame,
+    is_query: Column,
+    k: int = K,
+    shard: int = SHARD,
+    coverage: float = COVERAGE,
+    queries: int = QUERIES,
+) -> DataFrame:
     """The ``k`` nearest found of every query row of (``vec_id``, ``embedding``)."""
     spark = vectors.sparkSession
     plain = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").alias("vector"))
@@ -226,18 +288,21 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD,
         "ann_points",
     )
     # Rows a length; lengths are few, and each has a sample of its own.
-    sizes = points.groupBy(F.size("vector").alias("d")).count().collect()
+    largest = F.max(F.array_max(F.transform("vector", lambda v: F.abs(v.cast("double"))))).alias("largest")
+    sizes = points.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("count"), largest).collect()
     total, base, regions = max(1, sum(r["count"] for r in sizes)), 0, {}
     for r in sorted(sizes):
         share = max(1, SAMPLE * r["count"] // total)
         rows = points.where(F.size("vector") == r.d).orderBy(F.xxhash64("vector")).limit(share).select("vector").collect()
-        sample = np.array([x.vector for x in rows], np.float32)
+        scale = _scale(r.largest)
+        sample = np.array([x.vector for x in rows], float) / scale
         clusters = min(CLUSTERS, len(sample), -(-r["count"] // shard))
-        regions[r.d] = (base, _centroids(sample, clusters))
+        centroids = _centroids(sample, clusters)
+        regions[r.d] = (base, centroids, _margin(sample, centroids, k, coverage), scale)
         base += clusters
     sent = spark.sparkContext.broadcast(regions)
     placed = saved(
-        _regions(points, sent, 1).select("vector", "ids", F.col("regions")[0].alias("region")), "ann_placed"
+        _regions(points, sent, True).select("vector", "ids", F.col("regions")[0].alias("region")), "ann_placed"
     )
     # One row a region, at most ``CLUSTERS`` a vector length.
     salts = placed.groupBy("region").agg(F.ceil(F.count("*") / shard).cast("int").alias("salts"))
@@ -245,17 +310,26 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD,
     indexed = placed.join(salts, "region").select(
         "region", F.pmod(F.xxhash64("vector"), F.col("salts")).cast("int").alias("salt"), "vector", "ids"
     )
-    asked = _regions(valid.where(is_query).select(F.col("vec_id").alias("query_id"), "vector"), sent, probes)
+    graphs = saved(_graphs(indexed, sent), "ann_graphs")
+    asked = _regions(valid.where(is_query).select(F.col("vec_id").alias("query_id"), "vector"), sent, False)
+    asked = saved(asked.select("query_id", "vector", F.explode("regions").alias("region")), "ann_asked")
+    # Also one row a region: tasks that share the queries of each of its shards.
+    tasks = F.broadcast(asked.groupBy("region").agg(F.ceil(F.count("*") / queries).cast("int").alias("tasks")))
     asked = (
-        asked.select("query_id", "vector", F.explode("regions").alias("region"))
+        asked.join(tasks, "region")
         .join(salts, "region")
-        .select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "query_id", "vector")
+        .withColumn("task", F.pmod(F.xxhash64("query_id"), F.col("tasks")).cast("int"))
+        .select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "task", "query_id", "vector")
+    )
+    dealt = graphs.join(tasks, "region").select(
+        "region", "salt", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), "vector", "ids", "line", "edges"
     )
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _search_shard(key, left, right, k)
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _search_shard(left, right, k, sent)
 
-    found = indexed.groupBy("region", "salt").cogroup(asked.groupBy("region", "salt")).applyInPandas(run, FOUND)
+    by = ["region", "salt", "task"]
+    found = dealt.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(run, FOUND)
     by_score = W.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.distinct()

@@ -124,6 +124,40 @@ def test_secrets_keep_fixed_hits_and_add_dense_strings(spark):
     assert rows[len(texts) - 1].spans == ""
 
 
+def dense_span(text):
+    """From the first to the last window of enough bits, by counting every window anew."""
+    if re.search(secrets.ALLOWED, text) or re.search(secrets.WORDS, text) and not re.search(secrets.NO_WORD, text):
+        return None
+    is_hex = re.fullmatch("[0-9a-fA-F]+", text)
+    whole, least = (text.lower(), 3.0) if is_hex else (text, 3.8)
+    dense = []
+    for i in range(len(whole) - secrets.WINDOW + 1):
+        counts = np.unique(list(whole[i : i + secrets.WINDOW]), return_counts=True)[1] / secrets.WINDOW
+        if -(counts * np.log2(counts)).sum() >= least - 1e-9:
+            dense.append(i)
+    return (dense[0], dense[-1] + secrets.WINDOW) if dense else None
+
+
+def test_dense_spans_equal_counting_every_window(spark):
+    rng = random.Random(8)
+    letters, hexes = secrets.CLASSES["base64"][0], "0123456789abcdefABCDEF"
+    texts = ["".join(rng.choices(letters[: rng.randint(8, 67)], k=rng.randint(20, 70))) for _ in range(300)]
+    texts += ["".join(rng.choices(hexes[: rng.randint(6, 22)], k=rng.randint(20, 60))) for _ in range(200)]
+    found = frame(spark, texts).select("doc_id", secrets.entropy_spans(F.col("text"), F.array().cast(secrets.SPAN), 3).alias("s"))
+    got = {r.doc_id: (r.s[0]["start"], r.s[0]["end"]) if r.s else None for r in found.collect()}
+    assert got == {i: dense_span(t) for i, t in enumerate(texts)}
+    assert 100 < sum(g is not None for g in got.values()) < 450
+
+
+def test_one_long_unbroken_secret_and_empty_tables(spark):
+    rng = random.Random(9)
+    long = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=300_000))
+    rows = secrets.report(frame(spark, [long, "é " + long, long])).orderBy("doc_id").collect()
+    start, end = dense_span(long[:1_000])[0], 299_000 + dense_span(long[-1_000:])[1]
+    assert [r.spans for r in rows] == [f"entropy:{start + k}:{end + k}" for k in (0, 2, 0)]
+    assert secrets.report(frame(spark, ["x"]).limit(0)).count() == 0
+
+
 def luhn(digits):
     return sum((d if i % 2 == 0 else 2 * d - 9 * (d > 4)) for i, d in enumerate(map(int, digits[::-1]))) % 10 == 0
 
@@ -176,6 +210,41 @@ def test_nearest_neighbours_reach_brute_force(spark):
     assert ann.search(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def brute_neighbours(x, q, k):
+    far = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+    return {i for _, i in sorted((d, i) for i, d in enumerate(far) if i != q)[:k]}
+
+
+@pytest.mark.parametrize("kind", ["noise", "groups"])
+def test_recall_holds_over_many_regions_and_split_queries(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2_400, 24))
+    if kind == "groups":
+        x = x * 0.4 + rng.normal(size=(40, 24))[rng.integers(0, 40, 2_400)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    asked = F.col("vec_id") % 40 == 0
+    got = {}
+    for r in ann.search(table, asked, shard=32, queries=20).collect():  # 75 regions
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(range(0, 2_400, 40)) and all(len(f) == 10 for f in got.values())
+    assert sum(len(f & brute_neighbours(x, q, 10)) for q, f in got.items()) >= 0.9 * 10 * len(got)
+
+
+def test_full_coverage_visits_all_regions_and_sizes_do_not_overflow(spark):
+    x = np.random.default_rng(7).normal(size=(300, 8))
+    x[:60] *= 1e-3
+    for size in (1.0, 1e21, 1e200):
+        rows = [(i, v.tolist(), "x") for i, v in enumerate(x * size)]
+        table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, Region string")
+        got = {}
+        for r in ann.search(table, F.col("vec_id") % 50 == 0, k=5, shard=25, coverage=1.0).collect():
+            got.setdefault(r.query_id, {})[r.vec_id] = r.score
+        assert set(got) == set(range(0, 300, 50))
+        for q, found in got.items():
+            assert set(found) == brute_neighbours(x, q, 5)
+            assert all(s == pytest.approx(np.sqrt(((x[v] - x[q]) ** 2).sum()) * size) for v, s in found.items())
+
+
 def test_packages_hold_every_page_once(spark):
     long = "<p>é</p>" * 40
     rows = [(3, "http://a/ b", long), (1, None, long), (2, "u", None), (4, "u", "short"), (5, "u", "short"), (6, "u\r\nX: y", long + "!")]
