@@ -17,6 +17,8 @@ from shelfline.llm.queries import PIECE_MODEL
 
 #: Most rows of an Arrow batch.
 BATCH = 1_000
+#: Fragments and words a worker remembers: it follows four stages whose memory the JVM keeps.
+REMEMBERED = 100_000
 
 
 def _short_batches(spark: SparkSession) -> None:
@@ -54,7 +56,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns but the text, with ``pieces`` and their number."""
     _short_batches(spark)
-    found = sentencepiece_fst.encode(docs, public_tokenizers.path(PIECE_MODEL))
+    found = sentencepiece_fst.encode(docs, public_tokenizers.path(PIECE_MODEL), cache=REMEMBERED)
     return found.withColumn("n_pieces", F.size("pieces").cast("long")).drop("text")
 
 

@@ -253,8 +253,8 @@ def _sent(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _transducer(model: bytes) -> PieceTransducer:
-    return kept_in_worker("pieces", hashlib.sha256(model).digest(), lambda: PieceTransducer(model))
+def _transducer(model: bytes, cache: int = CACHE) -> PieceTransducer:
+    return kept_in_worker("pieces", (hashlib.sha256(model).digest(), cache), lambda: PieceTransducer(model, cache))
 
 
 def _lists(encoded: list[bytes]) -> pa.Array:
@@ -264,12 +264,15 @@ def _lists(encoded: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``pieces``, the piece ids of the whole text, by the model at ``path``."""
+def encode(docs: DataFrame, path: str, text: str = "text", cache: int = CACHE) -> DataFrame:
+    """``docs`` with ``pieces``, the piece ids of the whole text, by the model at ``path``.
+
+    ``cache`` is how many fragments and words a worker remembers; results do not depend on it.
+    """
     sent = _sent(docs, path)
 
     def start():
-        transducer = _transducer(sent.value)
+        transducer = _transducer(sent.value, cache)
         return lambda texts: [_lists([transducer.encode(t) for t in texts.to_pylist()])]
 
     return with_scanned(docs, text, T.StructType([PIECES]), start)
